@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from pathlib import Path
@@ -27,12 +29,13 @@ def ship_package(spark: SparkSession) -> None:
     if app in _shipped:
         return
     root = Path(__file__).resolve().parent
-    with tempfile.TemporaryDirectory() as d:
-        path = os.path.join(d, "quorumtext.zip")
-        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, p.relative_to(root.parent).as_posix())
-        spark.sparkContext.addPyFile(path)
+    d = tempfile.mkdtemp(prefix="quorumtext-code-")  # served by the driver as long as it lives
+    atexit.register(shutil.rmtree, d, ignore_errors=True)
+    path = os.path.join(d, "quorumtext.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent).as_posix())
+    spark.sparkContext.addPyFile(path)
     _shipped.add(app)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam
+from quorumtext.llm import decontam, simhash
 
 QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
     "op6_decontamination": decontam.op6_decontamination,
 }
 

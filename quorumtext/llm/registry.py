@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, simhash
+from quorumtext.llm import decontam, simhash, toxicity
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op6_decontamination": decontam.op6_decontamination,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {

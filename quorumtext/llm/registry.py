@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, simhash, toxicity
+from quorumtext.llm import decontam, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op6_decontamination": decontam.op6_decontamination,
+    "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, simhash, toxicity, urlfilter
+from quorumtext.llm import decontam, media, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op5_media": media.op5_media,
     "op6_decontamination": decontam.op6_decontamination,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, media, simhash, toxicity, urlfilter
+from quorumtext.llm import decontam, linededup, media, simhash, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op5_media": media.op5_media,
     "op6_decontamination": decontam.op6_decontamination,
+    "op8_line_dedup": linededup.op8_line_dedup,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op6_decontamination": decontam.ORACLE,
+    "op8_line_dedup": linededup.ORACLE,
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, linededup, media, simhash, toxicity, urlfilter
+from quorumtext.llm import decontam, linededup, media, simhash, spiece, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op4_sentencepiece": spiece.op4_sentencepiece,
     "op5_media": media.op5_media,
     "op6_decontamination": decontam.op6_decontamination,
     "op8_line_dedup": linededup.op8_line_dedup,

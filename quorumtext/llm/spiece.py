@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 17
 DROPOUT = 0.1
 VARIANTS = 4
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 MARK = "▁"
 _OWN_MARK = "\udc00"  # stands for a mark in the text; no text holds a lone surrogate
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, linededup, media, simhash, spiece, toxicity, urlfilter
+from quorumtext.llm import decontam, linededup, media, pii, simhash, spiece, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op4_sentencepiece": spiece.op4_sentencepiece,
     "op5_media": media.op5_media,
     "op6_decontamination": decontam.op6_decontamination,
+    "op7_pii": pii.op7_pii,
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.llm.graph import connected_components
+from quorumtext.llm.textbatch import mix
 from quorumtext.runtime import cut
 
 RADIUS = 4
@@ -77,9 +78,9 @@ class Forest:
     the first earlier node that it meets on each level, as inserting one by one would do.
     """
 
-    def __init__(self, shard: np.ndarray, fp: np.ndarray):
+    def __init__(self, shard: np.ndarray, fp: np.ndarray, other: np.ndarray | None = None, other_radius: int = 64):
         n = len(fp)
-        self.fp, self.shard = fp, shard
+        self.fp, self.shard, self.other, self.other_radius = fp, shard, other, other_radius
         self.root = np.searchsorted(shard, shard, side="left")
         parent, edge = np.full(n, -1, np.int64), np.zeros(n, np.int64)
         rest = np.flatnonzero(self.root != np.arange(n))
@@ -112,6 +113,8 @@ class Forest:
             while len(q):
                 d = np.bitwise_count(self.fp[q] ^ self.fp[at]).astype(np.int64)
                 near = (d <= radius) & (q != at)
+                if self.other is not None:
+                    near &= np.bitwise_count(self.other[q] ^ self.other[at]) <= self.other_radius
                 if near.any():
                     yield q[near], at[near]
                 a = np.searchsorted(self.key, at * 128 + np.maximum(d - radius, 0), "left")
@@ -121,7 +124,7 @@ class Forest:
             lo = hi
 
 
-def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int, other: np.ndarray | None = None, other_radius: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest (node, smaller node) of the links inside shards; shard is sorted."""
     top = np.arange(len(node))
 
@@ -131,7 +134,7 @@ def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: in
             i = top[i]
         return i
 
-    for q, at in Forest(shard, fp).within(radius):
+    for q, at in Forest(shard, fp, other, other_radius).within(radius):
         a, b = top[q], top[at]
         differ = a != b
         if differ.any():
@@ -164,11 +167,14 @@ def parts_for(n: int, radius: int) -> int:
     return parts
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD) -> DataFrame:
-    """Edges (u, v) whose components are those of all pairs of distinct fingerprints within ``radius`` bits.
+def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD, other_radius: int = 64) -> DataFrame:
+    """Edges (u, v) whose components are those of all pairs of nodes within ``radius`` bits.
 
-    ``nodes``: (node long, fp long), fp distinct. ``parts`` changes the cost, never the result.
+    ``nodes``: (node long, fp long) and perhaps a second fingerprint ``other``, which must
+    then be within ``other_radius`` bits too. ``parts`` changes the cost, never the result.
     """
+    if "other" not in nodes.columns:
+        nodes = nodes.withColumn("other", F.lit(0).cast("long"))
     parts = parts or parts_for(nodes.count(), radius)
     masks = [_signed(sum(c)) for c in combinations(_blocks(parts), parts - radius)]
     rows = nodes.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
@@ -176,34 +182,34 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_
     size = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     rows = rows.join(size.hint("merge"), ["mask", "value"])
     pieces = F.ceil(F.col("members") / F.lit(max_shard)).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), pieces).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return _searched(rows.withColumns({"a": F.least("own", "other"), "b": F.greatest("own", "other")}), radius)
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), pieces).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return _searched(rows.withColumns({"a": F.least("own", "to"), "b": F.greatest("own", "to")}), radius, other_radius)
 
 
-def _searched(rows: DataFrame, radius: int) -> DataFrame:
+def _searched(rows: DataFrame, radius: int, other_radius: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []  # rows of shards that the next batch may continue
 
-        def run(key: np.ndarray, node: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        def run(key: np.ndarray, node: np.ndarray, fp: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
             shard = np.cumsum(np.concatenate([[0], (key[:, 1:] != key[:, :-1]).any(0)]))
-            a, b = shard_forest(shard, node, fp.view(np.uint64), radius)
+            a, b = shard_forest(shard, node, fp.view(np.uint64), radius, other.view(np.uint64) if other_radius < 64 else None, other_radius)
             return pa.record_batch({"u": pa.array(a, pa.int64()), "v": pa.array(b, pa.int64())})
 
         for b in batches:
             if not b.num_rows:
                 continue
-            new = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(6)])
+            new = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(7)])
             whole = np.concatenate([*kept, new], 1)
             before = np.flatnonzero((whole[:4] != whole[:4, -1:]).any(0))
             end = int(before[-1]) + 1 if len(before) else 0
             if end:
-                yield run(whole[:4, :end], whole[4, :end], whole[5, :end])
+                yield run(whole[:4, :end], *whole[4:, :end])
             kept = [whole[:, end:]]
         if kept:
-            yield run(kept[0][:4], kept[0][4], kept[0][5])
+            yield run(kept[0][:4], *kept[0][4:])
 
     key = ["mask", "value", "a", "b"]
-    placed = rows.select(*key, "node", "fp").repartition(*key).sortWithinPartitions(*key, "node")
+    placed = rows.select(*key, "node", "fp", "other").repartition(*key).sortWithinPartitions(*key, "node")
     return placed.mapInArrow(search, "u long, v long")
 
 
@@ -222,6 +228,58 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS, parts: int | None =
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+#: Near copies: fingerprints of the set of words in this many independent tables, and the
+#: largest angle, in bits, of five-word shingles at a cosine similarity of 0.8.
+TABLES = 4
+SHINGLE_WORDS = 5
+SHINGLE_RADIUS = 13
+
+
+def word_set_prints(words: list[bytes], tables: int = TABLES) -> list[int]:
+    """One SimHash of the distinct words for each table, from independent hashes."""
+    own = set(words)
+    if not own:
+        return [0] * tables
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(w, 42) for w in own], np.uint64)
+    out = []
+    for t in range(tables):
+        x = mix(h + np.uint64((t * 0x9E3779B97F4A7C15) & (1 << 64) - 1))
+        ones = sum(np.unpackbits(x[i : i + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64) for i in range(0, len(x), 4096))
+        out.append(int(np.packbits(2 * ones > len(x), bitorder="little").view(np.uint64)[0]))
+    return out
+
+
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, component_id): groups of near copies at a five-word shingle similarity of 0.8.
+
+    A pair is linked if its word sets' fingerprints are within RADIUS bits in any of TABLES
+    tables, which the BK-trees search, and its five-word shingles' fingerprints within
+    SHINGLE_RADIUS bits, the angle of a similarity of 0.8, checked in the search. One
+    fingerprint of shingles alone, at RADIUS bits, finds few pairs below 0.95.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [[fingerprint(t.as_py(), SHINGLE_WORDS), *word_set_prints((t.as_py() or "").encode().lower().split())] for t in b.column(1)]
+            fps = np.array(rows, np.uint64).reshape(-1, 1 + TABLES).view(np.int64)
+            yield pa.record_batch([b.column(0), *[pa.array(fps[:, i]) for i in range(1 + TABLES)]], names=["doc_id", "other", *names])
+
+    names = [f"w{t}" for t in range(TABLES)]
+    kind = docs.schema[doc_id].dataType.simpleString()
+    prints = docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(each, f"doc_id {kind}, other long, " + ", ".join(f"{n} long" for n in names))
+    prints = cut(prints)
+    nodes = cut(prints.groupBy("other", *names).agg(F.min("doc_id").alias("node")))
+    known = nodes.where("node IS NOT NULL")
+    edges = None
+    for n in names:
+        more = links(known.select("node", F.col(n).alias("fp"), "other"), other_radius=SHINGLE_RADIUS)
+        edges = more if edges is None else edges.unionByName(more)
+    comp = connected_components(edges)
+    named = nodes.join(comp, "node", "left").select("other", *names, F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named.hint("merge"), ["other", *names]).select("doc_id", "component_id")
+
+
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
     """Digest of ``near_duplicates`` over all documents."""
     from quorumtext.runtime import ship_package, table

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, linededup, media, pii, quality, simhash, spiece, toxicity, urlfilter
+from quorumtext.llm import decontam, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_substring_dedup": substring.op2_substring_dedup,
     "op3_quality": quality.op3_quality,
     "op4_sentencepiece": spiece.op4_sentencepiece,
     "op5_media": media.op5_media,

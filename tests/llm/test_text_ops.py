@@ -176,3 +176,12 @@ def test_near_copies(spark):
 
 def test_contract_digest_of_no_items(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.array_join(F.array().cast("array<string>"), ","), 256)).first()[0]
+
+
+def test_passages_whose_tokens_lie_far_apart():
+    """A window matched half at one end of the other text and half at the other is no passage."""
+    r = np.random.default_rng(3)
+    x, gap = r.integers(1, 1 << 60, 46).astype(np.uint64), r.integers(1, 1 << 60, 500).astype(np.uint64)
+    other = np.concatenate([x[:23], gap, x[23:]])
+    assert substring.shared_passages(x, other, 46) == []
+    assert substring.shared_passages(x, np.concatenate([gap, x, gap]), 46) == [(0, 45, 500, 545)]

@@ -41,7 +41,7 @@ MARK = "▁"
 _OWN_MARK = "\udc00"  # stands for a mark in the text; no text holds a lone surrogate
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
 _M64 = (1 << 64) - 1
-NONE = 1 << 40
+NONE = 1 << 30
 
 
 @dataclass
@@ -108,7 +108,7 @@ class PairTable:
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE where there is no such piece) and merged symbol."""
         key = left.astype(np.int64) << 21 | right
-        rank, merged = np.full(len(key), NONE, np.int64), np.zeros(len(key), np.int64)
+        rank, merged = np.full(len(key), NONE, np.int32), np.zeros(len(key), np.int32)
         for n, (keys, ranks, pieces) in enumerate(self.tables):
             at = self.slot(key, n)
             hit = np.flatnonzero(keys[at] == key)
@@ -198,49 +198,53 @@ class Encoder:
         return out
 
     def _lockstep(self, chunks: list[str], width: int, variant: int) -> list[list[int]]:
-        n, size = len(chunks), np.array([len(c) for c in chunks])
+        n, size = len(chunks), np.array([len(c) for c in chunks], np.int32)
         chars = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), np.uint32)
-        inside = np.arange(width)[None] < size[:, None]
-        sym = np.full((n, width), -1, np.int64)
+        col = np.arange(width, dtype=np.int32)
+        inside = col[None] < size[:, None]
+        sym = np.full((n, width), -1, np.int32)
         sym[inside] = self.pairs.symbol[chars]
-        place = np.tile(np.arange(width), (n, 1))
+        place = np.tile(col, (n, 1))
         key = np.array([self._key(c, variant) for c in chunks], np.uint64) if self.limit else np.zeros(n, np.uint64)
-        rank, piece = np.full((n, width), NONE, np.int64), np.zeros((n, width), np.int64)
+        rank, piece = np.full((n, width), NONE, np.int32), np.zeros((n, width), np.int32)
 
         def look(i: np.ndarray, p: np.ndarray) -> None:
             """Put the pair at place p of rows i on the agenda, unless its hash says to skip it."""
             r, m = self.pairs.find(sym[i, p], sym[i, p + 1])
             if self.limit:
-                x = key[i] ^ (place[i, p].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + r.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
+                there = np.flatnonzero(r < NONE)
+                at, own = place[i[there], p[there]], r[there]
+                x = key[i[there]] ^ (at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + own.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
                 x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
                 x = (x ^ x >> np.uint64(32)) * np.uint64(0x94D049BB133111EB)
-                r = np.where(x >> np.uint64(32) < self.limit, NONE, r)
+                r[there] = np.where(x >> np.uint64(32) < self.limit, NONE, own)
             rank[i, p], piece[i, p] = r, m
 
         look(*np.nonzero(inside[:, 1:]))
-        done_sym, done_size = np.empty_like(sym), np.zeros(n, np.int64)
-        row = np.arange(n)  # of each row still at work
+        done_sym, done_size = np.empty_like(sym), np.zeros(n, np.int32)
+        row = np.arange(n)  # of each row that is still held
         while len(row):
-            best = rank.argmin(1)
-            at = np.arange(len(row))
-            live = rank[at, best] < NONE
-            if not live.all():
-                gone = ~live
+            best = rank.argmin(1).astype(np.int32)
+            at = np.flatnonzero(rank[np.arange(len(row)), best] < NONE)
+            if 4 * len(at) < 3 * len(row):  # let finished rows go, now and then
+                gone = np.ones(len(row), bool)
+                gone[at] = False
                 done_sym[row[gone]], done_size[row[gone]] = sym[gone], size[gone]
-                row, sym, place, rank, piece, size, key, best = (x[live] for x in (row, sym, place, rank, piece, size, key, best))
+                row, sym, place, rank, piece, size, key, best = (x[at] for x in (row, sym, place, rank, piece, size, key, best))
                 at = np.arange(len(row))
-                if not len(row):
-                    break
-            sym[at, best] = piece[at, best]
-            cols = np.minimum(np.arange(width)[None] + (np.arange(width)[None] > best[:, None]), width - 1)
-            sym, place, rank, piece = (np.take_along_axis(x, cols, 1) for x in (sym, place, rank, piece))
-            rank[:, -1] = NONE
-            size = size - 1
-            rank[at, best] = NONE
-            after = np.flatnonzero(best + 1 < size)
-            look(after, best[after])
-            before = np.flatnonzero(best > 0)
-            look(before, best[before] - 1)
+            if not len(at):
+                continue
+            here = best[at]
+            sym[at, here] = piece[at, here]
+            flat = (at * width)[:, None] + np.minimum(col[None] + (col[None] > here[:, None]), width - 1)
+            for x in (sym, place, rank, piece):
+                x[at] = x.ravel()[flat]
+            rank[at, width - 1] = rank[at, here] = NONE
+            size[at] -= 1
+            after = here + 1 < size[at]
+            look(at[after], here[after])
+            before = here > 0
+            look(at[before], here[before] - 1)
         flat = done_sym[np.arange(width)[None] < done_size[:, None]]
         ends = np.cumsum(done_size).tolist()
         ids = flat.tolist()

@@ -113,7 +113,25 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.coverage(said, shown, 60).select(F.col("video_id").alias("user_id"), "n_shown", "n_both", F.round("share", 6).alias("share"))
 
 
-QUERIES = {f.__name__: f for f in (figures_absent, lexicon_leak, repeat_runs, repeat_decision, credit_line_flag, findings_rollup, lang_density, index_newest_first, source_totals, slugs, admission, filler_removal, coverage_gaps)}
+def ngram_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Phrases of up to three words said five times or more in a row."""
+    return quality.ngram_loops(table(spark, sf_dir, "documents"), ["doc_id"], longest=3)
+
+
+def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns after two reviewed replacements, the second in one conversation only."""
+    fixed = spark.createDataFrame([(1, "the", "THE", None), (2, "and", "&", 1)], "ord int, wrong string, right string, scope long")
+    t = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "video_id")
+    return quality.corrected(t, fixed).select(F.col("video_id").alias("conv_id"), "turn", "text")
+
+
+def names_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of capitalised words in a conversation's assistant turns without a like run in its user's turns."""
+    t = table(spark, sf_dir, "conversations")
+    return quality.names_absent(t.where("role = 'assistant'"), t.where("role = 'user'"), ["conv_id"])
+
+
+QUERIES = {f.__name__: f for f in (figures_absent, lexicon_leak, repeat_runs, repeat_decision, credit_line_flag, findings_rollup, lang_density, index_newest_first, source_totals, slugs, admission, filler_removal, coverage_gaps, ngram_loops, corrections, names_absent)}
 
 _WORDS = r"regexp_extract_all(coalesce({c}, ''), '[^ \t\n\r\f\v]+')"
 _STRIP = r"regexp_replace(regexp_replace({w}, '^[!-/:-@\[-`{{-~]+', ''), '[!-/:-@\[-`{{-~]+$', '')"
@@ -179,4 +197,16 @@ ORACLE_SQL = {
         SELECT user_id, count(*) FILTER (shown) AS n_shown, count(*) FILTER (shown AND said) AS n_both, round(count(*) FILTER (shown AND said) / nullif(count(*) FILTER (shown), 0), 6) AS share
         FROM b GROUP BY user_id
     """,
+    "ngram_loops": f"""
+        WITH w AS (SELECT doc_id, x[i] AS word, i - 1 AS pos FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, list_transform({_WORDS.format(c='text')}, lambda w: {_BARE}) AS x FROM documents))),
+        s AS (SELECT doc_id, n, pos, word, coalesce(word = CASE n WHEN 1 THEN lag(word, 1) OVER o WHEN 2 THEN lag(word, 2) OVER o ELSE lag(word, 3) OVER o END, false) AS same
+              FROM w, (SELECT unnest([1, 2, 3]) AS n) WINDOW o AS (PARTITION BY doc_id, n ORDER BY pos)),
+        r AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, n ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM s),
+        g AS (SELECT doc_id, n, min(pos) - n AS first, (count(*) + n) // n AS repeats, array_to_string(list(word ORDER BY pos)[1:n], ' ') AS phrase FROM r WHERE same GROUP BY doc_id, n, run)
+        SELECT doc_id, n, CAST(first AS INTEGER) AS first, CAST(repeats AS INTEGER) AS repeats, phrase FROM g WHERE repeats >= 5
+    """,
+    "corrections": r"""
+        WITH a AS (SELECT conv_id, turn, regexp_replace(text, '\bthe\b', 'THE', 'g') AS text FROM conversations)
+        SELECT conv_id, turn, CASE WHEN conv_id = 1 THEN regexp_replace(text, '\band\b', '&', 'g') ELSE text END AS text FROM a
+    """,
 }

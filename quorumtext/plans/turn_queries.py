@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quorumtext.operators import speakers, turns
+from quorumtext.operators import integrity, quality, speakers, turns
 from quorumtext.runtime import table
+from quorumtext.streaming.ingest import event_counts
 
 
 def speaker_word_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +70,32 @@ def override_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(rulings, "doc_id", "left").select("doc_id", turns.coalesced("ruled", "source").alias("source"))
 
 
-QUERIES = {f.__name__: f for f in (speaker_word_share, turn_transition, turn_islands, turn_build, turn_order_faults, turn_rate, layer_ratio, point_in_interval, override_coalesce)}
+def as_of_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's latest click of the same user, at or before it."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("video_id"), F.lit("raw").alias("layer"), F.col("event_id").cast("int").alias("seq"), F.unix_timestamp(F.col("ts").cast("timestamp")).alias("start_sec"), "event_type")
+    clicks = e.where("event_type = 'click'").select("video_id", F.col("start_sec").alias("t0"))
+    return quality.nearest_caption(e, clicks).select(F.col("seq").alias("event_id"), F.col("caption_t0").cast("long").alias("click_sec"))
+
+
+def label_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns whose role differs from a copy in which each seventh turn was ruled otherwise."""
+    t = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("video_id"), F.col("turn").alias("pos"), F.col("role").alias("speaker"))
+    gold = t.withColumn("speaker", F.when(F.col("pos") % 7 == 3, "Audience").otherwise(F.col("speaker")))
+    return speakers.label_errors(t, gold).select(F.col("video_id").alias("conv_id"), "n_wrong", "n_words", F.round("rate", 6).alias("rate"))
+
+
+def sibling_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields in which documents of one text differ."""
+    d = table(spark, sf_dir, "documents").select(F.md5("text").alias("video_id"), "lang", "source", "n_chars")
+    return integrity.sibling_drift(d, ["lang", "source", "n_chars"]).withColumnRenamed("video_id", "text_md5")
+
+
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each type by hour, as the stream counts them."""
+    return event_counts(table(spark, sf_dir, "events"), "ts", "event_type").withColumn("start", F.unix_timestamp("start"))
+
+
+QUERIES = {f.__name__: f for f in (speaker_word_share, turn_transition, turn_islands, turn_build, turn_order_faults, turn_rate, layer_ratio, point_in_interval, override_coalesce, as_of_nearest, label_errors, sibling_drift, event_windows)}
 
 _W = r"len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\v]+'))"
 
@@ -120,4 +146,19 @@ ORACLE_SQL = {
         SELECT d.doc_id, coalesce(CASE WHEN l.doc_id IS NOT NULL THEN 'ruled' END, d.source, 'Speaker ?') AS source
         FROM documents d LEFT JOIN (SELECT doc_id FROM labels WHERE quality = 0) l USING (doc_id)
     """,
+    "as_of_nearest": """
+        WITH e AS (SELECT event_id, user_id, event_type, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events)
+        SELECT CAST(event_id AS INTEGER) AS event_id, max(CASE WHEN event_type = 'click' THEN s END) OVER (PARTITION BY user_id ORDER BY s RANGE UNBOUNDED PRECEDING) AS click_sec FROM e
+    """,
+    "label_errors": """
+        SELECT conv_id, count(*) FILTER (turn % 7 = 3) AS n_wrong, count(*) AS n_words, round(count(*) FILTER (turn % 7 = 3) / count(*), 6) AS rate
+        FROM conversations GROUP BY conv_id
+    """,
+    "sibling_drift": """
+        WITH f AS (SELECT md5(text) AS text_md5, unnest(['lang', 'source', 'n_chars']) AS field, unnest([lang, source, CAST(n_chars AS VARCHAR)]) AS v FROM documents)
+        SELECT text_md5, field, count(DISTINCT v) AS n_values FROM f GROUP BY ALL HAVING count(DISTINCT v) > 1
+    """,
+    "event_windows": """
+        SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n FROM events GROUP BY ALL
+    """,
 }

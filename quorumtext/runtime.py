@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -62,3 +63,14 @@ def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, into the shared checkpoint folder, and cut its lineage."""
     shared_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.
+
+    Spark's cleaner removes them once nothing on the driver refers to them any more, which it
+    learns from garbage collection; between large steps that is worth asking for. Callers
+    drop their own references first.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -257,6 +257,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     tables, which the BK-trees search, and its five-word shingles' fingerprints within
     SHINGLE_RADIUS bits, the angle of a similarity of 0.8, checked in the search. One
     fingerprint of shingles alone, at RADIUS bits, finds few pairs below 0.95.
+
+    Null and empty texts, and texts of spaces, are one group; rows without a doc_id take the
+    component of equal fingerprints with one, or null; repeated rows come back as often as
+    they came; extra columns are ignored; an empty table gives an empty result.
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.llm.textbatch import _Powers, mix, slices
-from quorumtext.runtime import cut
+from quorumtext.runtime import cut, release
 
 MIN_CHARS = 20
 FINE_PARTS = 16
@@ -123,7 +123,7 @@ def occurrences(docs: DataFrame, doc_id: str, text: str, min_chars: int) -> Data
 
 def _shared(keyed: DataFrame, keep: list[str]) -> DataFrame:
     """Rows (key, a, b, ...) whose key another line has too, as distinct ``keep``."""
-    many = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    many = cut(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"))  # so both sides of the join can be split
     return keyed.join(many.hint("merge"), "key", "left_semi").select(*keep).distinct()
 
 
@@ -201,6 +201,7 @@ def neighbours(docs: DataFrame, lines: DataFrame, doc_id: str, text: str) -> Dat
     who = F.struct("first", "a", "b")
     least = lambda role: F.min(F.when(F.col("role") == role, who))
     meet = rows.groupBy("key").agg(least(0).alias("same"), least(1).alias("longer"), least(2).alias("shorter"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    meet = cut(meet)
     other = F.when(F.col("role") == 0, F.col("same")).when(F.col("role") == 1, F.col("shorter")).otherwise(F.col("longer"))
     best = rows.join(meet.hint("merge"), "key").select("a", "b", "first", other.alias("other")).where("other.first < first").groupBy("a", "b").agg(F.min("other").alias("other"))
     one = known.select("a", "b", F.col("text").alias("x"))
@@ -213,10 +214,15 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     """(doc_id, gone: line numbers to remove), besides lines repeated inside their own text."""
     seen = cut(occurrences(docs, doc_id, text, min_chars))
     lines = cut(seen.groupBy("a", "b").agg(F.min(F.struct("doc_id", "line")).alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")))
-    near = neighbours(docs, lines, doc_id, text).withColumn("near", F.lit(True))
-    fate = lines.join(near.hint("merge"), ["a", "b"], "left").where("n > 1 OR near").select("a", "b", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    release(docs.sparkSession)
+    near = cut(neighbours(docs, lines, doc_id, text)).withColumn("near", F.lit(True))
+    release(docs.sparkSession)
+    fate = cut(lines.join(near.hint("merge"), ["a", "b"], "left").where("n > 1 OR near").select("a", "b", "first", F.coalesce("near", F.lit(False)).alias("near")))
     hit = seen.select("doc_id", "line", "a", "b").join(fate.hint("merge"), ["a", "b"]).where(F.col("near") | ~F.struct("doc_id", "line").eqNullSafe(F.col("first")))
-    return hit.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
+    gone = cut(hit.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone")))
+    del seen, lines, near, fate, hit
+    release(docs.sparkSession)
+    return gone
 
 
 def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:

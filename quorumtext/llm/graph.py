@@ -22,14 +22,14 @@ def _state(edges: DataFrame) -> tuple[int, int]:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each vertex hands its larger neighbours its smallest one."""
     both = edges.select(F.col("hi").alias("v"), F.col("lo").alias("w")).unionByName(edges.select(F.col("lo").alias("v"), F.col("hi").alias("w")))
-    least = both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("m"))
+    least = cut(both.groupBy("v").agg(F.least(F.min("w"), F.col("v")).alias("m")))  # so both sides of the join can be split
     out = both.where("w > v").join(least.hint("merge"), "v")
     return out.select(F.col("w").alias("hi"), F.col("m").alias("lo")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each vertex hands its smaller neighbours, and itself, its smallest one."""
-    least = edges.groupBy("hi").agg(F.min("lo").alias("m"))
+    least = cut(edges.groupBy("hi").agg(F.min("lo").alias("m")))
     out = edges.join(least.hint("merge"), "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
     return out.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
 
@@ -44,7 +44,7 @@ def connected_components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFr
     e = cut(e)
     state = _state(e)
     while state[0]:
-        e = cut(_small_star(_large_star(e)))
+        e = cut(_small_star(cut(_large_star(e))))
         now = _state(e)
         if now == state:
             break

@@ -36,7 +36,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 17
 DROPOUT = 0.1
 VARIANTS = 4
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 MARK = "▁"
 _OWN_MARK = "\udc00"  # stands for a mark in the text; no text holds a lone surrogate
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n+")
@@ -92,25 +92,27 @@ class PairTable:
         key, rank, merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
         self.tables = []
         while len(key):  # what finds its place taken goes to a further table
-            slots = np.full(1 << 20, -1, np.int64)
-            at = self.slot(key, len(self.tables))
+            level, bits = len(self.tables), len(key).bit_length() + 3
+            slots = np.full(1 << bits, -1, np.int32)
+            at = self.slot(key, bits, level)
             slots[at[::-1]] = np.arange(len(key))[::-1]
             here = slots[at] == np.arange(len(key))
-            full = np.full((3, 1 << 20), -1, np.int64)
-            full[:, at[here]] = key[here], rank[here], merged[here]
-            self.tables.append(full)
+            keys, ranks, pieces = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32), np.zeros(1 << bits, np.int32)
+            keys[at[here]], ranks[at[here]], pieces[at[here]] = key[here], rank[here], merged[here]
+            self.tables.append((bits, keys, ranks, pieces))
             key, rank, merged = key[~here], rank[~here], merged[~here]
 
     @staticmethod
-    def slot(key: np.ndarray, n: int) -> np.ndarray:
-        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15 + 2 * n) >> np.uint64(44)).astype(np.int64)
+    def slot(key: np.ndarray, bits: int, level: int) -> np.ndarray:
+        times = np.uint64(pow(0x9E3779B97F4A7C15, 2 * level + 1, 1 << 64))
+        return (key.astype(np.uint64) * times >> np.uint64(64 - bits)).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NONE where there is no such piece) and merged symbol."""
         key = left.astype(np.int64) << 21 | right
         rank, merged = np.full(len(key), NONE, np.int32), np.zeros(len(key), np.int32)
-        for n, (keys, ranks, pieces) in enumerate(self.tables):
-            at = self.slot(key, n)
+        for level, (bits, keys, ranks, pieces) in enumerate(self.tables):
+            at = self.slot(key, bits, level)
             hit = np.flatnonzero(keys[at] == key)
             rank[hit], merged[hit] = ranks[at[hit]], pieces[at[hit]]
         return rank, merged

@@ -13,6 +13,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +25,12 @@ def ship_package(spark: SparkSession) -> None:
     """Send this package's code to the executors once per application.
 
     Python workers then import it whatever their own PYTHONPATH is. The driver's
-    file server hands the archive out, so executors need no folder in common.
+    file server hands the archive out, so executors need no folder in common. Arrow batches
+    are bounded to 8 MB, unless the session has a bound of its own, so that batches of long
+    texts do not add up in the workers.
     """
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, "8m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -42,6 +42,7 @@ BITS = 20
 MAX_TRAIN = 20_000
 MAX_FEATURES = 2048
 ALPHA = 1.0
+SLICE = 1 << 18  # bytes of text whose n-grams are held at once
 L2 = 1e-4
 _K = 0x9E3779B97F4A7C15 | 1
 
@@ -89,7 +90,7 @@ def class_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros((2, 1 << BITS), np.int64)
     for b in batches:
         label = b.column(1).to_numpy(zero_copy_only=False)
-        for s in slices(b.column(0)):
+        for s in slices(b.column(0), SLICE):
             data = PLAIN[s.data]
             for i in range(s.hi - s.lo):
                 own = data[s.bounds[i] : s.bounds[i + 1]]
@@ -174,7 +175,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = []
-            for s in slices(b.column(0)):
+            for s in slices(b.column(0), SLICE):
                 row, f = present(PLAIN[s.data], s.bounds, sent.value, m)
                 got += np.split(f.astype(np.int32), np.searchsorted(row, np.arange(1, s.hi - s.lo)))
             yield pa.record_batch({"f": pa.array([x.astype("<u2").tobytes() for x in got], pa.binary()), "y": b.column(1)})
@@ -194,7 +195,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
         m = sent.value
         for t in texts:
             out = []
-            for s in slices(pa.array(t, pa.large_string(), from_pandas=True)):
+            for s in slices(pa.array(t, pa.large_string(), from_pandas=True), SLICE):
                 row, f = present(PLAIN[s.data], s.bounds, m.lut, len(m.weight))
                 out.append(m.bias + np.bincount(row, weights=m.weight[f], minlength=s.hi - s.lo))
             z = np.concatenate(out) if out else np.zeros(0)

@@ -174,6 +174,37 @@ def test_near_copies(spark):
     assert got[n] == got[n + 1] == n
 
 
+def near_pairs(seed):
+    """Pairs of texts with the Jaccard similarity of their five-word shingles: blocks added and cut, words changed."""
+    r = random.Random(seed)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    words = lambda n: [r.choice(vocabulary) for _ in range(n)]
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    out = []
+    for n in (100, 200, 600):
+        for _ in range(25):
+            base, at = words(n), r.randrange(n)
+            changed = list(base)
+            for i in r.sample(range(n), n // 50):
+                changed[i] = "zz"
+            for other in (base[:at] + words(n // 6) + base[at:], base + words(n // 10), base[n // 7 :], changed, base + words(n // 2), base[: n * 7 // 10]):
+                a, b = shingles(base), shingles(other)
+                out.append((" ".join(base), " ".join(other), len(a & b) / len(a | b)))
+    return out
+
+
+def test_near_copies_by_true_similarity(spark):
+    """Added, cut and changed blocks at 0.8 and more are linked; pairs at 0.6 to 0.75 stay apart."""
+    pairs = near_pairs(4)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(frame(spark, [t for a, b, _ in pairs for t in (a, b)])).collect()}
+    # each base comes in six pairs, once as a text of its own: equal texts are one node
+    linked = [got[2 * i] == got[2 * i + 1] for i in range(len(pairs))]
+    near = [x for x, (_, _, j) in zip(linked, pairs, strict=True) if j >= 0.8]
+    far = [x for x, (_, _, j) in zip(linked, pairs, strict=True) if 0.6 <= j <= 0.75]
+    assert len(near) > 200 and np.mean(near) >= 0.98
+    assert len(far) > 50 and not any(far)
+
+
 def test_contract_digest_of_no_items(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.array_join(F.array().cast("array<string>"), ","), 256)).first()[0]
 

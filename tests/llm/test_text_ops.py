@@ -146,6 +146,31 @@ def test_exact_windows_behind_another_representative(spark):
     assert h.count() == 6  # 51 tokens hold six windows of 46
 
 
+def test_exact_passage_beside_a_verified_one(spark):
+    """u has P and Q, its representative v most of P's words and Q, w only P: w is linked to u by P."""
+    r = random.Random(8)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for _ in range(40):
+        p, q = words(50), words(50)
+        texts += [" ".join(p[:42] + words(1) + q), " ".join(q + words(60) + p + words(30)), " ".join(words(120) + p + words(60))]
+    got = {x.doc_id: x.class_id for x in substring.repeated_passages(frame(spark, texts)).collect()}
+    assert [got.get(3 * i + 2) for i in range(40)] == [3 * i for i in range(40)]
+
+
+def test_recall_of_changed_passages(spark):
+    """Passages of 50 words at a token similarity of about 0.8, in long texts of their own."""
+    r = random.Random(9)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for _ in range(100):
+        p = words(50)
+        changed = p[:25] + ["zz"] + p[26:]  # 5 of 46 tokens differ: 41 / 51 = 0.804
+        texts += [" ".join(words(80) + x + words(80)) for x in (p, changed)]
+    got = {x.doc_id: x.class_id for x in substring.repeated_passages(frame(spark, texts)).collect()}
+    assert sum(got.get(2 * i + 1) == 2 * i for i in range(100)) >= 95
+
+
 def test_sliding_minima():
     v = np.random.default_rng(0).integers(0, 1000, 300).astype(np.uint64)
     for t in (1, 2, 7, 46, 64, 300):

@@ -5,11 +5,13 @@ values are cut out with one pattern, each is validated, and valid ones are repla
 keyed bijection of their own format, so equal values get equal pseudonyms in every document
 and different values different ones:
 
-* card: 13 to 19 digits, bare or in groups with one kind of separator, Luhn sum right. All
+* card: 13 to 19 digits, bare or in groups (4-4-4-4 with a last group shorter or one more of
+  1 to 3, 4-6-5, 4-6-4) with one kind of separator, Luhn sum right. In a longer run of
+  groups each stretch that is a card is one, the longest first; the rest stays. All
   digits but the last are permuted, the last is set so that the sum is right again.
 * ipv4: four numbers up to 255. The 32 bits are permuted.
 * phone: +1 (ddd) ddd-dddd and alike. The ten digits are permuted; sign, code, separators stay.
-* date: yyyy-mm-dd that the calendar has, 1800 to 2199. The 146097 days are permuted.
+* date: yyyy-mm-dd that the calendar has, 1800 to 2199, by itself or before T and a time. The 146097 days are permuted.
 * email: letters and digits before the @ are permuted, each within its kind; case, dots and
   the domain stay.
 
@@ -31,10 +33,11 @@ KEY = "quorumtext"
 ROUNDS = 8
 
 # What is looked for, in this order. Java regular expressions.
-CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[0-9]{12,18}|[0-9]{3}(?:([ -])[0-9]{4})(?:\1[0-9]{4}){1,2}(?:\1[0-9]{1,4})?)(?![0-9A-Za-z]|[.-][0-9])"
+CARD = r"(?<![0-9A-Za-z.+-])[0-9](?:[0-9]{12,18}|[0-9]{3}(?:([ -])[0-9]{4})(?:\1[0-9]{4})+(?:\1[0-9]{1,3})?|[0-9]{3}([ -])[0-9]{6}\2[0-9]{4,5}(?:\2[0-9]{1,4})?)(?![0-9A-Za-z]|[.-][0-9])"
+CARD_GROUPS = r"^[0-9]{4}(?:([ -])[0-9]{4}\1[0-9]{4}\1(?:[0-9]{1,4}|[0-9]{4}\1[0-9]{1,3})|([ -])[0-9]{6}\2[0-9]{4,5})$"  # of one card
 IPV4 = r"(?<![0-9A-Za-z.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9A-Za-z]|\.[0-9])"
 PHONE = r"(?<![0-9A-Za-z])\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])"
-DATE = r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9A-Za-z-])"
+DATE = r"(?<![0-9A-Za-z-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!(?![Tt][0-9]{2}(?![0-9]))[0-9A-Za-z-])"
 EMAIL = r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z][0-9A-Za-z._%+-]{0,63}@(?:[0-9A-Za-z](?:[0-9A-Za-z-]{0,61}[0-9A-Za-z])?\.){1,8}[A-Za-z]{2,24}(?![0-9A-Za-z])"
 FOUND = "|".join((EMAIL, PHONE, DATE, CARD, IPV4))
 
@@ -141,13 +144,31 @@ def pseudonym(value: Column, key: str = KEY) -> Column:
     return F.when(kind == "email", mail).when(kind == "phone", F.concat(F.lit("+1"), phone)).when(kind == "date", date).when(kind == "ipv4", address).when(kind == "card", card).otherwise(value)
 
 
+def parts_of(value: Column) -> Column:
+    """A run of digit groups as the cards in it, the other groups and the separators; other values as one part."""
+    groups, gap = F.split(value, "[ -]"), F.regexp_extract(value, "[ -]", 0)
+    n = F.size(groups)
+    none = F.array().cast("array<string>")
+
+    def step(s: Column, i: Column) -> Column:
+        stretch = lambda k: F.replace(F.array_join(F.slice(groups, i + 1, F.lit(k) if isinstance(k, int) else k), " "), F.lit(" "), gap)
+        fits = lambda k: (i + k <= n) & stretch(k).rlike(CARD_GROUPS) & (kind_of(stretch(k)) == "card")
+        size = F.when(fits(5), 5).when(fits(4), 4).when(fits(3), 3).otherwise(1)
+        put = F.transform(F.array(size), lambda k: F.struct((i + k).cast("int").alias("to"), F.concat(s["out"], F.when(i > 0, F.array(gap)).otherwise(none), F.array(stretch(k))).alias("out")))
+        return F.when(i < s["to"], s).otherwise(F.element_at(put, 1))
+
+    start = F.struct(F.lit(0).alias("to"), none.alias("out"))
+    run = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda s: s["out"])
+    return F.when(value.rlike("^[0-9]{4}[ -][0-9 -]*$") & ~value.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), run).otherwise(F.array(value))
+
+
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with its texts' values replaced and ``pii``, the number of each kind (clashing columns are replaced)."""
     had = docs.withColumn("_found", F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(FOUND), F.lit(0))).otherwise(F.array().cast("array<string>")))
     some = F.size("_found") > 0
-    swapped = had.withColumn("_new", F.transform("_found", lambda v: F.struct(kind_of(v).alias("kind"), pseudonym(v, key).alias("value"))))
+    swapped = had.withColumn("_new", F.transform(F.transform("_found", parts_of), lambda v: F.struct(F.transform(v, kind_of).alias("kinds"), F.array_join(F.transform(v, lambda x: pseudonym(x, key)), "").alias("value"))))
     pieces = F.zip_with(F.split(F.col(text), FOUND, -1), F.col("_new"), lambda p, n: F.concat(p, F.coalesce(n["value"], F.lit(""))))
-    count = lambda k: F.size(F.filter("_new", lambda n: n["kind"] == k)).alias(k)
+    count = lambda k: F.size(F.filter(F.flatten("_new.kinds"), lambda n: n == k)).alias(k)
     kinds = F.struct(*[count(k) for k in ("card", "ipv4", "phone", "date", "email")])
     return swapped.withColumns({text: F.when(some, F.array_join(pieces, "")).otherwise(F.col(text)), "pii": kinds}).drop("_found", "_new")
 

@@ -123,6 +123,20 @@ def test_pseudonyms(spark):
     assert pii.pseudonymise(docs.limit(0)).count() == 0
 
 
+def test_cards_beside_other_numbers_and_dates_with_a_time(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 123", f"{card} 12/27", "3782 822463 10005", "3782-822463-10005-123", f"2024 {card}", f"{card} 5500 0000 0000 0004", "2024-01-05T10:00:00Z", "2024-01-05", "4111 1111 1111 1112 12", "2024-01-05Tx"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [(r.text, r.pii.card, r.pii.date) for r in pii.pseudonymise(docs).orderBy("doc_id").collect()]
+    assert [g[1:] for g in got] == [(1, 0), (1, 0), (1, 0), (1, 0), (1, 0), (2, 0), (0, 1), (0, 1), (0, 0), (0, 0)]
+    new = got[0][0][:19]
+    assert new != card and [g[0] for g in got[:2]] == [f"{new} 123", f"{new} 12/27"]
+    assert got[4][0] == f"2024 {new}" and got[5][0].startswith(new) and "5500" not in got[5][0]
+    assert got[2][0] == got[3][0][:-4].replace("-", " ") != texts[2] and got[3][0].endswith("-123")
+    assert got[6][0] == got[7][0] + "T10:00:00Z" and got[7][0] != texts[7]
+    assert [g[0] for g in got[8:]] == texts[8:]
+
+
 def test_permutations_are_one_to_one(spark):
     n = 189 * 773
     step = spark.range(n).select(pii.permute_number(F.col("id"), 189, 773, "k", "date").alias("x"))

@@ -96,7 +96,8 @@ def encode_media(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
                 lo += len(files)
                 yield pa.record_batch([*own.columns[: len(keep)], pa.array(files, pa.binary())], names=[*keep, "media"])
 
-    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(each, f"{kinds}, media binary")
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
+    return docs.select(*own, F.col(text).alias("text")).mapInArrow(each, f"{kinds}, media binary")
 
 
 def _pieces(media: pa.Array) -> Iterator[tuple[int, int]]:
@@ -142,7 +143,8 @@ def decode_media(stored: DataFrame, media: str = "media", keep: tuple[str, ...]
                 names = [*keep, "n_bytes", "payload", "height", "width", "feature", "rgb"]
                 yield pa.record_batch([*b.slice(lo, hi - lo).columns[: len(keep)], *cols], names=names[: len(keep) + len(cols)])
 
-    return stored.select(*keep, F.col(media).alias("_media")).mapInArrow(each, kinds)
+    own = [F.col(c).alias(f"c{i}") for i, c in enumerate(keep)]
+    return stored.select(*own, F.col(media).alias("media")).mapInArrow(each, kinds)
 
 
 def op5_media(spark, sf_dir: str) -> DataFrame:

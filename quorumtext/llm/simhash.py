@@ -9,11 +9,13 @@
 4. In each shard a BK-tree is built, children keyed by integer Hamming distance to their
    parent; every member walks the tree along the edges in [d - radius, d + radius] only.
    A shard's finds leave as a spanning forest, at most one row per member, never as pairs.
-5. A shard of more than ``max_shard`` nodes is cut into pieces of about that size, and each
-   pair of pieces is a task's tree of its own, so no task holds more than two pieces and
-   nothing is dropped. Such a shard needs that many *different* fingerprints that agree on
-   the key's bits; the number of blocks follows the number of nodes so that chance alone
-   leaves about 64.
+5. The number of blocks follows the number of nodes so that chance alone leaves about 64 in
+   a shard. One of more than ``max_shard`` nodes is split by longer keys: its other bits are
+   cut into twice ``radius`` blocks, of which two near fingerprints agree on half, so keys
+   have over 40 bits in all and a row is copied at most 70 times whatever the shard's size.
+   Such a key leaves some 22 bits free; if still more than ``max_shard`` *different*
+   fingerprints share it, they are cut into pieces (at most 2**22 / ``max_shard``), and each
+   pair of pieces is a tree of its own. Nothing is dropped.
 6. Components of the forests' union, by star contraction.
 
 The trees travel to the tasks that hold their shard by the shuffle on the shard key.
@@ -80,9 +82,9 @@ class Forest:
     the first earlier node that it meets on each level, as inserting one by one would do.
     """
 
-    def __init__(self, shard: np.ndarray, fp: np.ndarray, other: np.ndarray | None = None, other_radius: int = 64):
+    def __init__(self, shard: np.ndarray, fp: np.ndarray):
         n = len(fp)
-        self.fp, self.shard, self.other, self.other_radius = fp, shard, other, other_radius
+        self.fp, self.shard = fp, shard
         self.root = np.searchsorted(shard, shard, side="left")
         parent, edge = np.full(n, -1, np.int64), np.zeros(n, np.int64)
         rest = np.flatnonzero(self.root != np.arange(n))
@@ -115,8 +117,6 @@ class Forest:
             while len(q):
                 d = np.bitwise_count(self.fp[q] ^ self.fp[at]).astype(np.int64)
                 near = (d <= radius) & (q != at)
-                if self.other is not None:
-                    near &= np.bitwise_count(self.other[q] ^ self.other[at]) <= self.other_radius
                 if near.any():
                     yield q[near], at[near]
                 a = np.searchsorted(self.key, at * 128 + np.maximum(d - radius, 0), "left")
@@ -126,7 +126,7 @@ class Forest:
             lo = hi
 
 
-def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int, other: np.ndarray | None = None, other_radius: int = 64) -> tuple[np.ndarray, np.ndarray]:
+def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest (node, smaller node) of the links inside shards; shard is sorted."""
     top = np.arange(len(node))
 
@@ -136,7 +136,7 @@ def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: in
             i = top[i]
         return i
 
-    for q, at in Forest(shard, fp, other, other_radius).within(radius):
+    for q, at in Forest(shard, fp).within(radius):
         a, b = top[q], top[at]
         differ = a != b
         if differ.any():
@@ -151,16 +151,22 @@ def shard_forest(shard: np.ndarray, node: np.ndarray, fp: np.ndarray, radius: in
     return node[moved], node[top[moved]]
 
 
-def _blocks(n: int) -> list[int]:
-    """64 bits as n blocks of nearly equal size, as masks."""
-    cuts = [round(64 * k / n) for k in range(n + 1)]
-    return [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:], strict=False)]
+def _blocks(n: int, bits: int = (1 << 64) - 1) -> list[int]:
+    """The places of ``bits`` as n masks of nearly equal size."""
+    places = [i for i in range(64) if bits >> i & 1]
+    cuts = [round(len(places) * k / n) for k in range(n + 1)]
+    return [sum(1 << i for i in places[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
+def _masks(parts: int, radius: int, bits: int = (1 << 64) - 1) -> list[int]:
+    """Every choice of all but ``radius`` of ``parts`` blocks of ``bits``; two words within the radius agree on one."""
+    return sorted(sum(c) for c in combinations(_blocks(parts, bits), parts - radius))
+
+
 def parts_for(n: int, radius: int) -> int:
     """Fewest blocks for which n spread-out fingerprints leave about 64 in a shard."""
     parts = radius + 2
@@ -169,49 +175,58 @@ def parts_for(n: int, radius: int) -> int:
     return parts
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD, other_radius: int = 64) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD) -> DataFrame:
     """Edges (u, v) whose components are those of all pairs of nodes within ``radius`` bits.
 
-    ``nodes``: (node long, fp long) and perhaps a second fingerprint ``other``, which must
-    then be within ``other_radius`` bits too. ``parts`` changes the cost, never the result.
+    ``nodes``: (node long, fp long). ``parts`` and ``max_shard`` change the cost, never the result.
     """
-    if "other" not in nodes.columns:
-        nodes = nodes.withColumn("other", F.lit(0).cast("long"))
     parts = parts or parts_for(nodes.count(), radius)
-    masks = [_signed(sum(c)) for c in combinations(_blocks(parts), parts - radius)]
-    rows = nodes.withColumn("mask", F.explode(F.array(*[F.lit(m).cast("long") for m in masks])))
+    masks = _masks(parts, radius)
+    longer = {m: [m | x for x in _masks(2 * radius, radius, ~m & (1 << 64) - 1)] for m in masks}
+    array = lambda xs: F.array(*[F.lit(_signed(x)).cast("long") for x in xs])
+    met = _met(nodes.withColumn("mask", F.explode(array(masks))))
+    few = met.where(F.col("members") <= max_shard).withColumns({"a": F.lit(0), "b": F.lit(0)})
+    more = F.create_map(*[y for m, xs in longer.items() for y in (F.lit(_signed(m)).cast("long"), array(xs))])
+    hot = met.where(F.col("members") > max_shard).select("node", "fp", F.explode(F.element_at(more, F.col("mask"))).alias("mask"))
+    hot = _met(hot.distinct())
+    pieces = F.ceil(F.col("members") / F.lit(max_shard)).cast("int")
+    hot = hot.withColumn("own", F.pmod(F.xxhash64("fp"), pieces).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    hot = hot.withColumns({"a": F.least("own", "to"), "b": F.greatest("own", "to")})
+    columns = ["mask", "value", "a", "b", "node", "fp"]
+    return _searched(few.select(columns).unionByName(hot.select(columns)), radius)
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows (node, fp, mask) with the key's value and its members, where there are two at least."""
     rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
     size = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    rows = rows.join(size.hint("merge"), ["mask", "value"])
-    pieces = F.ceil(F.col("members") / F.lit(max_shard)).cast("int")
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("fp"), pieces).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    return _searched(rows.withColumns({"a": F.least("own", "to"), "b": F.greatest("own", "to")}), radius, other_radius)
+    return rows.join(size.hint("merge"), ["mask", "value"])
 
 
-def _searched(rows: DataFrame, radius: int, other_radius: int) -> DataFrame:
+def _searched(rows: DataFrame, radius: int) -> DataFrame:
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[np.ndarray] = []  # rows of shards that the next batch may continue
 
-        def run(key: np.ndarray, node: np.ndarray, fp: np.ndarray, other: np.ndarray) -> pa.RecordBatch:
-            shard = np.cumsum(np.concatenate([[0], (key[:, 1:] != key[:, :-1]).any(0)]))
-            a, b = shard_forest(shard, node, fp.view(np.uint64), radius, other.view(np.uint64) if other_radius < 64 else None, other_radius)
+        def run(rows: np.ndarray) -> pa.RecordBatch:
+            shard = np.cumsum(np.concatenate([[0], (rows[:4, 1:] != rows[:4, :-1]).any(0)]))
+            a, b = shard_forest(shard, rows[4], rows[5].view(np.uint64), radius)
             return pa.record_batch({"u": pa.array(a, pa.int64()), "v": pa.array(b, pa.int64())})
 
         for b in batches:
             if not b.num_rows:
                 continue
-            new = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(7)])
+            new = np.stack([b.column(i).to_numpy().astype(np.int64) for i in range(6)])
             whole = np.concatenate([*kept, new], 1)
             before = np.flatnonzero((whole[:4] != whole[:4, -1:]).any(0))
             end = int(before[-1]) + 1 if len(before) else 0
             if end:
-                yield run(whole[:4, :end], *whole[4:, :end])
+                yield run(whole[:, :end])
             kept = [whole[:, end:]]
         if kept:
-            yield run(kept[0][:4], *kept[0][4:])
+            yield run(kept[0])
 
     key = ["mask", "value", "a", "b"]
-    placed = rows.select(*key, "node", "fp", "other").repartition(*key).sortWithinPartitions(*key, "node")
+    placed = rows.repartition(*key).sortWithinPartitions(*key, "node")
     return placed.mapInArrow(search, "u long, v long")
 
 
@@ -230,8 +245,10 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS, parts: int | None =
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-#: Near copies: BANDS fingerprints of ROWS min-hashes each over the set of five-word shingles.
-#: A pair at SIMILARITY shares one of them with a chance of 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
+#: Near copies of five-word shingle similarity. SimHash alone cannot find them: a pair at 0.8 has
+#: a cosine of 0.889, so 9.7 of 64 bits differ on average and a radius of 4 holds 3 in 100 pairs.
+#: So BANDS fingerprints of ROWS min-hashes each meet as well: a pair at SIMILARITY shares
+#: one of them with a chance of 1 - (1 - 0.8 ** 6) ** 24 = 0.9993.
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 6
@@ -266,35 +283,41 @@ def shingle_sets(data: np.ndarray, bounds: np.ndarray, k: int = SHINGLE_WORDS) -
     return h[new], np.searchsorted(row[new], np.arange(len(bounds)))
 
 
-def set_prints(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of each row's set, two words that tell equal sets, and the BANDS fingerprints; zeros for an empty set."""
+def set_prints(h: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row's set, two words that tell equal sets, its SimHash, and the BANDS fingerprints; zeros for an empty set."""
     own = np.flatnonzero(np.diff(begin))
     same, bands = np.zeros((len(begin) - 1, 2), np.uint64), np.zeros((len(begin) - 1, BANDS), np.uint64)
+    fp = np.zeros(len(begin) - 1, np.uint64)
     if len(own):
         at = begin[own]
+        size = np.diff(begin)[own]
+        for byte in range(8):
+            bits = np.unpackbits((h >> np.uint64(8 * byte)).astype(np.uint8)[:, None], axis=1, bitorder="little")
+            ones = np.add.reduceat(bits, at, axis=0, dtype=np.int32)
+            fp[own] |= np.packbits(2 * ones > size[:, None], axis=1, bitorder="little")[:, 0].astype(np.uint64) << np.uint64(8 * byte)
         same[own, 0], same[own, 1] = np.add.reduceat(mix(h), at), np.add.reduceat(mix(h ^ _PRINT_SALT), at)
         for b in range(BANDS):
             key = np.full(len(own), b, np.uint64)
             for r in range(ROWS):
                 key = mix(key + np.minimum.reduceat((h ^ _SALTS[0, b, r]) * (_SALTS[1, b, r] | np.uint64(1)), at))
             bands[own, b] = key
-    return same, bands
+    return same, fp, bands
 
 
 def _set_prints_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, s0, s1, bands) of docs (doc_id, text); an empty set has no bands."""
+    """(doc_id, s0, s1, fp, bands) of docs (doc_id, text); an empty set has no bands."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in slices(b.column(1)):
                 h, begin = shingle_sets(s.data, s.bounds)
-                same, bands = set_prints(h, begin)
+                same, fp, bands = set_prints(h, begin)
                 full = np.diff(begin) > 0
                 ends = np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(bands[full].reshape(-1).view(np.int64)))
-                yield pa.record_batch([b.column(0).slice(s.lo, s.hi - s.lo), *[pa.array(same[:, i].copy().view(np.int64)) for i in (0, 1)], lists], names=["doc_id", "s0", "s1", "bands"])
+                yield pa.record_batch([b.column(0).slice(s.lo, s.hi - s.lo), *[pa.array(x.copy().view(np.int64)) for x in (same[:, 0], same[:, 1], fp)], lists], names=["doc_id", "s0", "s1", "fp", "bands"])
 
-    return docs.mapInArrow(each, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, s0 long, s1 long, bands array<long>")
+    return docs.mapInArrow(each, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, s0 long, s1 long, fp long, bands array<long>")
 
 
 def _candidates(nodes: DataFrame) -> DataFrame:
@@ -307,6 +330,13 @@ def _candidates(nodes: DataFrame) -> DataFrame:
     return met.groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("shared"))
 
 
+def _near_prints(nodes: DataFrame) -> DataFrame:
+    """(u, v): nodes within RADIUS bits of SimHash, found by the BK-trees; equal fingerprints meet in their smallest node."""
+    heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")))
+    equal = nodes.join(heads.select("fp", F.col("node").alias("v")).hint("merge"), "fp").where("node <> v").select(F.col("node").alias("u"), "v")
+    return links(heads).unionByName(equal)
+
+
 def _similar(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The pairs (u, v) whose texts' sets of shingles have that Jaccard similarity or more."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -336,9 +366,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """(doc_id, component_id): groups of near copies at a five-word shingle similarity of 0.8.
 
     1. Texts with equal sets of shingles become one node, named by its smallest doc_id.
-    2. Nodes that share one of BANDS fingerprints meet by it. Each is a candidate with its
-       group's leader, so a group costs its rows, not its pairs.
-    3. Candidates are verified on the texts: the true Jaccard similarity of the two sets.
+    2. The sets' SimHash fingerprints go through the BK-trees; what is within RADIUS bits is a
+       candidate, and the one that is verified first.
+    3. Nodes that share one of BANDS min-hash fingerprints meet by it. Each is a candidate with
+       its group's leader, so a group costs its rows, not its pairs.
+    4. Candidates are verified on the texts: the true Jaccard similarity of the two sets.
        First each node with the leader it meets most often, then all candidates that the
        links found so far do not connect.
 
@@ -352,8 +384,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = cut(_set_prints_of(docs))
-    nodes = cut(prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")))
-    pairs = cut(_candidates(nodes.where("node IS NOT NULL")))
+    nodes = cut(prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    named = nodes.where("node IS NOT NULL")
+    near = _near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long"))
+    pairs = cut(_candidates(named).unionByName(near).groupBy("u", "v").agg(F.max("shared").alias("shared")))
     release(docs.sparkSession)
     best = pairs.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
     found = cut(_similar(best, docs))

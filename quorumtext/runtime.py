@@ -48,8 +48,9 @@ def ship_package(spark: SparkSession) -> None:
 def shared_checkpoint_dir(spark: SparkSession) -> str:
     """Folder for checkpoints: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests, a laptop) a folder of this
-    machine is set.
+    Only where the session names none and runs on this machine alone (tests, a laptop) a
+    folder of this machine is set; on a cluster that is an error, as executors share no such
+    folder.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -59,11 +60,21 @@ def shared_checkpoint_dir(spark: SparkSession) -> str:
         return named
     current = sc._jsc.sc().getCheckpointDir()
     if current.isEmpty():
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="quorumtext-checkpoint-"))
         current = sc._jsc.sc().getCheckpointDir()
     return current.get()
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once, into the shared checkpoint folder, and cut its lineage."""
     shared_checkpoint_dir(df.sparkSession)

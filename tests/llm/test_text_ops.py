@@ -74,15 +74,15 @@ def slow_line_dedup(texts, least):
     first = {}
     for d, t in enumerate(texts):
         for i, x in enumerate(t.split("\n") if t is not None else []):
-            if len(x) >= least:
+            if x:
                 first.setdefault(x, (d, i))
-    near = {x for x in first for y in first if first[y] < first[x] and distance_one(x, y)}
+    near = {x for x in first for y in first if min(len(x), len(y)) >= least and first[y] < first[x] and distance_one(x, y)}
     out = []
     for d, t in enumerate(texts):
         if t is None:
             out.append(None)
             continue
-        out.append("\n".join(x for i, x in enumerate(t.split("\n")) if len(x) < least or (first[x] == (d, i) and x not in near)))
+        out.append("\n".join(x for i, x in enumerate(t.split("\n")) if not x or (first[x] == (d, i) and x not in near)))
     return out
 
 
@@ -94,20 +94,28 @@ def test_line_dedup(spark):
         i = r.randrange(len(x))
         return r.choice([x, x[:i] + x[i + 1 :], x[:i] + "z" + x[i:], x[:i] + "q" + x[i + 1 :], x[::-1], x + "ab"])
 
-    texts = [None, "", "\n", "short\nshort", base[0] + "\n" + base[0]] + ["\n".join(edited(r.choice(base)) for _ in range(r.randrange(1, 6))) for _ in range(60)]
+    texts = [None, "", "\n", "short\nshort", "shor\nshort\n", base[0] + "\n" + base[0]] + ["\n".join(edited(r.choice(base)) for _ in range(r.randrange(1, 6))) for _ in range(60)]
     got = linededup.remove_lines(frame(spark, texts)).orderBy("doc_id").collect()
     want = slow_line_dedup(texts, 20)
     assert [g.text for g in got] == want
-    assert [(g.n_lines, g.n_removed) for g in got[:5]] == [(0, 0), (1, 0), (2, 0), (2, 0), (2, 1)]
+    assert [(g.n_lines, g.n_removed) for g in got[:6]] == [(0, 0), (1, 0), (2, 0), (2, 1), (3, 1), (2, 1)]
     assert got[0].key == "x"
     assert linededup.remove_lines(frame(spark, ["a"]).limit(0)).collect() == []
 
 
 def test_line_dedup_of_repeated_rows_and_null_ids(spark):
     x = "a line of more than twenty characters"
-    docs = spark.createDataFrame([(1, x), (1, x), (None, x), (2, x + "!")], "doc_id int, text string")
-    got = sorted((str(r.doc_id), r.text) for r in linededup.remove_lines(docs).collect())
-    assert got == [("1", ""), ("1", ""), ("2", ""), ("None", x)]  # a null id comes first
+    docs = spark.createDataFrame([(1, x), (1, x), (None, x + "\n" + x), (2, x + "!"), (None, None)], "doc_id int, text string")
+    got = sorted((str(r.doc_id), str(r.text)) for r in linededup.remove_lines(docs).collect())
+    assert got == [("1", x), ("1", x), ("2", ""), ("None", "None"), ("None", x)]  # a null id comes before or after no other
+
+
+def test_keys_of_both_bases_tell_the_same_lines_apart():
+    lines = linededup.Lines.of(["abcd", "abxd", "abd", "zbcd"])
+    at, a = np.array([0, 1, 2, 3, 0]), np.array([2, 2, 0, 0, 0])
+    for turn in (0, 1):
+        key = lines.without(at, a, np.array([3, 3, 0, 1, 1]), np.zeros(5, np.int64), turn)
+        assert key[0] == key[1] == key[2] and key[3] == key[4] != key[0]
 
 
 def passages(seed):

@@ -12,13 +12,16 @@ single rarest shingle. So
    where the window would start (positional bound), the document's end must leave room
    for all of it (length bound), and the words are then compared byte by byte.
 
-Documents never shuffle. The item side is read in blocks of at most
-``block_windows`` windows, so what is broadcast has that bound whatever the benchmark's
-size; with more than one block the few documents with hits are merged by document.
+Documents never shuffle. Distinct windows are dealt to blocks by their hash, half of
+``block_windows`` to a block on average and never more than that (a block that chance or a
+window of very many items fills further is an error, not a cut), so what is broadcast has
+that bound whatever the benchmark's size or the length of one item. With more than one block
+the hits, few, are merged by (doc_id, text), so every row gets just its own.
 
 Edge cases: a null or empty text has no words and no hits; an item without words has no
-window; repeated items each count; extra columns are ignored. Documents with the same id
-are judged each by itself when there is one block.
+window; the windows of an item without an id hit, but name no item; rows with one item_id
+are one item; repeated documents, and those without an id, are judged each by itself; extra
+columns are ignored; an empty table of documents gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,11 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.llm.textbatch import LOWER, shingle_hashes, slices, span_hashes, word_spans
+from quorumtext.runtime import cut
 
 #: Words are runs of 0-9, a-z (after lower-casing A-Z) and all bytes beyond ASCII.
 IS_WORD = np.zeros(256, bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
+# The same words as a pattern, once A-Z is lowered.
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 WINDOW = 10
 SHINGLE = 3
 BLOCK_WINDOWS = 200_000
@@ -44,22 +52,11 @@ _SIEVE_BITS = 20
 
 
 class WindowIndex:
-    """The windows of one block of items with their shingles; small, built on the driver."""
-
-    def __init__(self, items: list[tuple[object, str | None]], window: int, shingle: int):
-        seen: dict[tuple[bytes, ...], int] = {}
-        owners: list[set[str]] = []
-        for item_id, text in items:
-            words = _words_of(text)
-            n = min(window, len(words))
-            for i in range(len(words) - n + 1) if n else ():
-                w = tuple(words[i : i + n])
-                if w not in seen:
-                    seen[w] = len(owners)
-                    owners.append(set())
-                owners[seen[w]].add(str(item_id))
-        self.windows = list(seen)
-        self.owners = owners
+    """The windows of one block with their owners and shingles; small, built on the driver."""
+
+    def __init__(self, windows: list[tuple[list[str], list[str]]], shingle: int):
+        self.windows = [tuple(x.encode() for x in w) for w, _ in windows]
+        self.owners = [set(items) for _, items in windows]
         self.tokens: list[list[tuple[int, int]]] = []  # per window: (shingle hash, place)
         self.sizes: list[int] = []
         for w in self.windows:
@@ -86,11 +83,13 @@ class WindowIndex:
         return {k: (np.array([x[0] for x in sorted(v)], np.uint64), np.array([x[1] for x in sorted(v)]), np.array([x[2] for x in sorted(v)])) for k, v in by.items()}
 
 
-def _words_of(text: str | None) -> list[bytes]:
-    data = LOWER[np.frombuffer((text or "").encode(), np.uint8)]
-    s, e, _ = word_spans(data, np.array([0, len(data)]), IS_WORD)
-    raw = data.tobytes()
-    return [raw[a:b] for a, b in zip(s.tolist(), e.tolist(), strict=True)]
+def item_windows(benchmark: DataFrame, item_id: str, item_text: str, window: int) -> DataFrame:
+    """(words, items): the distinct windows of all items, with the sorted ids, as strings, of the items that hold them."""
+    low = F.translate(F.coalesce(F.col(item_text), F.lit("")), _UPPER, _UPPER.lower())
+    own = benchmark.select(F.col(item_id).cast("string").alias("item"), F.regexp_extract_all(low, F.lit(WORD), F.lit(0)).alias("all")).where("size(all) > 0")
+    n = F.least(F.size("all"), F.lit(window))
+    rows = own.select("item", n.alias("n"), "all", F.explode(F.sequence(F.lit(1), F.size("all") - n + 1)).alias("i")).select("item", F.slice("all", F.col("i"), F.col("n")).alias("words"))
+    return rows.groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
 def _sieve(keys: np.ndarray) -> np.ndarray:
@@ -132,9 +131,9 @@ def _document_frequencies(docs: DataFrame, text: str, shingles: dict[int, np.nda
     return {int(np.int64(r.h).view(np.uint64)): r.n for r in per.groupBy("h").agg(F.sum("n").alias("n")).collect()}
 
 
-def find_windows(docs: DataFrame, items: list[tuple[object, str | None]], doc_id: str, text: str, window: int, shingle: int, merge: bool) -> DataFrame:
-    """Per document: words, hit words and items found; with ``merge`` also the hit ranges, only of documents with hits."""
-    index = WindowIndex(items, window, shingle)
+def find_windows(docs: DataFrame, windows: list[tuple[list[str], list[str]]], text: str, shingle: int, keep: tuple[str, ...]) -> DataFrame:
+    """Columns ``keep`` (of docs), n_words, n_hit, items and ranges of hit words, a row per document."""
+    index = WindowIndex(windows, shingle)
     rare = _document_frequencies(docs, text, index.shingles()) if index.windows else {}
     sent = docs.sparkSession.sparkContext.broadcast((index.prefixes(rare), index.windows, index.owners))
 
@@ -144,7 +143,7 @@ def find_windows(docs: DataFrame, items: list[tuple[object, str | None]], doc_id
         sieves = {k: _sieve(v[0]) for k, v in prefixes.items()}
         for b in batches:
             out: list[tuple[int, int, list[tuple[int, int]], list[str]]] = []
-            for s in slices(b.column(1)):
+            for s in slices(b.column(len(keep))):
                 data = LOWER[s.data]
                 raw = data.tobytes()
                 st, en, first = word_spans(data, s.bounds, IS_WORD)
@@ -170,12 +169,11 @@ def find_windows(docs: DataFrame, items: list[tuple[object, str | None]], doc_id
                 covered = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
                 total, got = np.diff(first), covered[first[1:]] - covered[first[:-1]]
                 out += [(int(total[d]), int(got[d]), ranges.get(d, []), sorted(found.get(d, ()))) for d in range(s.hi - s.lo)]
-            cols = {"doc_id": b.column(0), "n_words": pa.array([x[0] for x in out], pa.int64()), "n_hit": pa.array([x[1] for x in out], pa.int64()), "items": pa.array([x[3] for x in out], pa.list_(pa.string())), "ranges": pa.array([[{"a": p, "z": q} for p, q in _union(x[2])] for x in out], pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())])))}
+            cols = {**dict(zip(keep, b.columns, strict=False)), "n_words": pa.array([x[0] for x in out], pa.int64()), "n_hit": pa.array([x[1] for x in out], pa.int64()), "items": pa.array([x[3] for x in out], pa.list_(pa.string())), "ranges": pa.array([[{"a": p, "z": q} for p, q in _union(x[2])] for x in out], pa.list_(pa.struct([("a", pa.int64()), ("z", pa.int64())])))}
             yield pa.record_batch(cols)
 
-    kind = docs.schema[doc_id].dataType.simpleString()
-    out = docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(search, f"doc_id {kind}, n_words long, n_hit long, items array<string>, ranges array<struct<a:long,z:long>>")
-    return out.where(F.size("ranges") > 0) if merge else out
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select(*keep, text).mapInArrow(search, f"{kinds}, n_words long, n_hit long, items array<string>, ranges array<struct<a:long,z:long>>")
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -190,24 +188,34 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Columns doc_id, n_words, n_hit, items (sorted strings) and ranges (hit word ranges), one row per document."""
-    size = F.greatest(F.lit(1), F.length(F.coalesce(F.col(item_text), F.lit(""))))  # at least as many as its windows
-    bound = benchmark.agg(F.sum(size)).first()[0] or 0
-    blocks = max(1, -(-int(bound) // (8 * block_windows)))
-    own = benchmark.select(F.col(item_id).alias("i"), F.col(item_text).alias("t"))
-    part = F.pmod(F.xxhash64(F.col("i").cast("string"), F.col("t")), F.lit(blocks))
-    read = lambda k: [(r.i, r.t) for r in own.where(part == k).collect()]
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    windows = cut(item_windows(benchmark, item_id, item_text, window))
+    size = F.greatest(F.lit(1), F.size("items"))
+    total = windows.agg(F.sum(size)).first()[0] or 0
+    blocks = -(-2 * total // block_windows) if total > block_windows else 1
+    block = F.pmod(F.xxhash64("words"), F.lit(blocks))
+    if blocks > 1:
+        most = windows.groupBy(block.alias("block")).agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0]
+        if most > max(block_windows, 16):
+            raise ValueError(f"a block holds {most} windows and owners; raise block_windows")
+    read = lambda k: [(r.words, r["items"]) for r in windows.where(block == k).collect()]
     if blocks == 1:
-        return find_windows(docs, read(0), doc_id, text, window, shingle, False)
+        return find_windows(docs, read(0), "text", shingle, ("doc_id",))
+    docs = docs.withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keep = ("doc_id", "text_sha")
     hits = None
     for k in range(blocks):
-        more = find_windows(docs, read(k), doc_id, text, window, shingle, True)
+        more = find_windows(docs, read(k), "text", shingle, keep).where("n_hit > 0")
         hits = more if hits is None else hits.unionByName(more)
-    merged = hits.groupBy("doc_id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"), F.array_sort(F.flatten(F.collect_list("ranges"))).alias("ranges"))
-    plain = find_windows(docs, [], doc_id, text, window, shingle, False).select("doc_id", "n_words")
-    empty = F.struct(F.lit(-1).cast("long").alias("end"), F.lit(0).cast("long").alias("n"))
-    step = lambda s, r: F.struct(F.greatest(s["end"], r["z"]).alias("end"), (s["n"] + F.greatest(F.lit(0), r["z"] - F.greatest(s["end"], r["a"]))).alias("n"))
-    merged = merged.withColumn("n_hit", F.aggregate("ranges", empty, step)["n"])
-    return plain.join(merged, "doc_id", "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("ranges", F.array().cast("array<struct<a:long,z:long>>")).alias("ranges"))
+    merged = hits.groupBy(*keep).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ranges")))).alias("ranges"))
+    plain = find_windows(docs, [], "text", shingle, keep).select(*keep, "n_words")
+    empty = F.struct(F.array().cast("array<struct<a:long,z:long>>").alias("done"), F.struct(F.lit(-1).cast("long").alias("a"), F.lit(-1).cast("long").alias("z")).alias("last"))
+    grow = lambda s, r: F.when(r["a"] <= s["last"]["z"], F.struct(s["done"].alias("done"), F.struct(s["last"]["a"].alias("a"), F.greatest(s["last"]["z"], r["z"]).alias("z")).alias("last"))).otherwise(F.struct(F.concat(s["done"], F.array(s["last"])).alias("done"), r.alias("last")))
+    union = F.aggregate("ranges", empty, grow, lambda s: F.filter(F.concat(s["done"], F.array(s["last"])), lambda r: r["a"] >= 0))
+    merged = merged.withColumn("ranges", union).withColumn("n_hit", F.aggregate("ranges", F.lit(0).cast("long"), lambda n, r: n + r["z"] - r["a"]))
+    merged = merged.select(F.col("doc_id").alias("d"), F.col("text_sha").alias("t"), "n_hit", "items", "ranges")
+    out = plain.join(merged.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha") == F.col("t")), "left")
+    return out.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.coalesce("ranges", F.array().cast("array<struct<a:long,z:long>>")).alias("ranges"))
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
@@ -232,7 +240,7 @@ ORACLE = r"""
     hit AS (SELECT DISTINCT o.doc_id, o.i, o.n, win.item_id FROM occ o JOIN win ON o.n = win.n AND o.s = win.s),
     words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
     items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+              FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
     SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
            sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)

@@ -20,4 +20,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op6_decontamination": decontam.ORACLE,
     "op8_line_dedup": linededup.ORACLE,
+    "op9_url_filter": urlfilter.ORACLE,
 }

@@ -5,23 +5,26 @@ fitting rule decides.
 
 Tree. Urls shrink to (host, typed path) keys with page and label counts first, summed
 before their shuffle, so a host with a third of all pages is a few thousand keys. Typing
-replaces a path segment's digit runs by ``<n>`` and long hexadecimal runs by ``<x>``. Then,
-level by level from each host's root, a literal segment whose parent has more than
-``max_children`` different literal children becomes the wildcard ``*``; what lies deeper
-than ``max_depth`` is one wildcard ``**``.
+replaces long runs of hexadecimal digits and dashes by ``<x>`` and other digit runs by
+``<n>``. Then, level by level from each host's root, a segment that is not just typed and
+whose parent has more than ``max_children`` such children becomes the wildcard ``*``; what
+lies deeper than ``max_depth`` is one wildcard ``**``.
 
 Merging. Sibling templates (equal but for one literal, the first) are ordered by labelled
 purity and merged while neighbours' shares of blocked pages differ by less than ``z``
 standard errors; siblings without ``min_labels`` labels are never merged.
 
-Verdict. A template is blocked if it has ``min_labels`` labelled pages and its purity,
-(blocked + weight * prior) / (labelled + weight) with the corpus-wide share as prior, is at
-least ``threshold``; otherwise it is allowed. Labels are pages known to be good or bad; the
-query takes the pages that the rules decide.
+Verdict. Purity is smoothed by back-off, so labels reach hosts that have none: the purity of
+a merged branch on its host is (blocked + weight * p) / (labelled + weight) with p the
+purity of the same template on the host's last two labels; that one backs off to the last
+label, that to the template on any host, and that to the share of all labelled pages. A
+template is blocked if it has ``min_labels`` labelled pages on any hosts and its purity is
+at least ``threshold``; otherwise it is allowed. Labels are the pages that the rules decide
+and those of ``labels``.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path, no rule, and
-the template of the empty host; repeated pages count each; extra columns are ignored; an
-empty table gives an empty result.
+the template of the empty host; repeated pages count each, also as labels; extra columns
+are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,6 +45,9 @@ RULES = (
     ("block", "net/fr/"),
 )
 
+# Fixed value: an identifier in hexadecimal.
+HEX = r"\b[0-9A-Fa-f][0-9A-Fa-f-]{14,}[0-9A-Fa-f]\b"
+
 MAX_CHILDREN = 16
 MAX_DEPTH = 8
 MIN_LABELS = 5
@@ -73,14 +79,14 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
 def typed_path(path: Column) -> Column:
     """Segments of a path with identifiers typed, at most MAX_DEPTH of them and ``**`` for the rest."""
     seg = F.split(F.regexp_replace(path, "^/", ""), "/")
-    seg = F.transform(seg, lambda s: F.regexp_replace(F.regexp_replace(s, r"(?i)\b(?=[a-f]*[0-9])[0-9a-f]{8}[0-9a-f-]*\b", "<x>"), r"[0-9]+", "<n>"))
+    seg = F.transform(seg, lambda s: F.regexp_replace(F.regexp_replace(s, HEX, "<x>"), r"[0-9]+", "<n>"))
     return F.when(F.size(seg) > MAX_DEPTH, F.concat(F.slice(seg, 1, MAX_DEPTH), F.array(F.lit("**")))).otherwise(seg)
 
 
 def templates(keys: DataFrame, max_children: int = MAX_CHILDREN) -> DataFrame:
     """``keys`` (host, seg array, ...) with ``template``: seg with variable literals as ``*``."""
     done = keys.withColumn("template", F.array().cast("array<string>"))
-    literal = F.col("_s").isNotNull() & ~F.col("_s").contains("<") & (F.col("_s") != "**") & (F.col("_s") != "")
+    literal = F.col("_s").isNotNull() & ~F.col("_s").isin("<n>", "<x>", "**", "")
     deepest = keys.agg(F.max(F.size("seg"))).first()[0] or 0
     for level in range(1, deepest + 1):
         done = cut(done)  # each level reads the last one twice
@@ -105,25 +111,46 @@ def judge(keys: DataFrame, min_labels: int = MIN_LABELS, weight: float = WEIGHT,
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.lag("n").over(w) + 1 / F.col("n")))
     apart = F.col("p").isNull() | F.lag("p").over(w).isNull() | (F.col("p") - F.lag("p").over(w) > z * error)
     leaf = leaf.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    group = ["host", "shape", F.col("p").isNull().alias("bare"), "branch"]
+    leaf = cut(leaf.withColumn("bare", F.col("p").isNull()).drop("p", "apart"))
+    total = leaf.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
+    smooth = lambda b, n, p: (F.col(b) + weight * p) / (F.col(n) + weight)
+    parts = F.split("host", r"\.")
+    leaf = leaf.withColumns({"d2": F.array_join(F.slice(parts, -F.least(F.lit(2), F.size(parts)), 2), "."), "d1": F.element_at(parts, -1)})
+    group = ["host", "shape", "bare", "branch"]
     merged = leaf.groupBy(*group).agg(F.sum("n").alias("bn"), F.sum("b").alias("bb"))
-    prior = keys.agg(((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).alias("prior"))
-    purity = (F.col("bb") + weight * F.col("prior")) / (F.col("bn") + weight)
-    merged = merged.join(F.broadcast(prior)).withColumn("purity", purity)
-    merged = merged.withColumn("verdict", F.when((F.col("bn") >= min_labels) & (F.col("purity") >= threshold), "block").otherwise("allow"))
-    leaf = leaf.withColumn("bare", F.col("p").isNull()).join(merged.hint("merge"), ["host", "shape", "bare", "branch"])
-    return keys.join(leaf.select("host", "template", "branch", "purity", "verdict").hint("merge"), ["host", "template"])
-
-
-def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, page_id: str = "page_id", url: str = "url") -> DataFrame:
-    """(page_id, host, path, rule, verdict, template, purity), one row per page."""
+    out = leaf.join(merged.hint("merge"), group)
+    for name, by in (("any", ["template"]), ("top", ["d1", "template"]), ("domain", ["d2", "template"])):
+        known = leaf.groupBy(*by).agg(F.sum("n").alias(f"{name}_n"), F.sum("b").alias(f"{name}_b"))
+        out = cut(out).join(known.hint("merge"), by)  # the rows lie in files, so a very common template can be split
+    p = F.lit(((total.b or 0) + 1) / ((total.n or 0) + 2))
+    for name in ("any", "top", "domain"):
+        p = smooth(f"{name}_b", f"{name}_n", p)
+    out = out.withColumn("purity", smooth("bb", "bn", p))
+    out = out.withColumn("verdict", F.when((F.col("any_n") >= min_labels) & (F.col("purity") >= threshold), "block").otherwise("allow"))
+    return keys.join(out.select("host", "template", "branch", "purity", "verdict").hint("merge"), ["host", "template"])
+
+
+def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, page_id: str = "page_id", url: str = "url", labels: DataFrame | None = None, teaches: Column | None = None) -> DataFrame:
+    """(page_id, host, path, rule, verdict, learned, template, purity), one row per page.
+
+    ``labels``: (page_id, bad 0/1), known besides the rules; several of one page count as bad
+    if any is. ``teaches``: a condition on host and path; pages that fail it are judged, but
+    their labels are not learned from. ``learned`` is the tree's verdict, whether a rule fits or not.
+    """
     own = pages.select(F.col(page_id).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     own = own.withColumns({"rule": rule, "known": verdict, "seg": typed_path(F.col("path"))})
-    keys = own.groupBy("host", "seg").agg(F.count(F.lit(1)).alias("pages"), F.count("known").alias("labelled"), F.count_if(F.col("known") == "block").alias("blocked"))
+    label = F.col("known")
+    if labels is not None:
+        bad = labels.where("bad IN (0, 1)").groupBy("page_id").agg(F.when(F.max("bad") == 1, "block").otherwise("allow").alias("given"))
+        own = own.join(bad.hint("merge"), "page_id", "left")
+        label = F.coalesce("known", "given")
+    if teaches is not None:
+        label = F.when(teaches, label)
+    keys = own.withColumn("label", label).groupBy("host", "seg").agg(F.count(F.lit(1)).alias("pages"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("blocked"))
     tree = judge(templates(cut(keys))).select("host", "seg", "template", "purity", F.col("verdict").alias("learned"))
     out = own.join(tree.hint("merge"), ["host", "seg"], "left")
-    return out.select("page_id", "host", "path", "rule", F.coalesce("known", "learned").alias("verdict"), F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")
+    return out.select("page_id", "host", "path", "rule", F.coalesce("known", "learned").alias("verdict"), "learned", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")
 
 
 def op9_url_filter(spark, sf_dir: str) -> DataFrame:
@@ -131,3 +158,46 @@ def op9_url_filter(spark, sf_dir: str) -> DataFrame:
     from quorumtext.runtime import table
 
     return filter_urls(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _oracle() -> str:
+    """The same in DuckDB: rules, typed paths, wildcards level by level, merged branches, back-off."""
+    fit = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')", v, r) for v, r in sorted(RULES, key=lambda x: -len(x[1])) for h, _, p in [r.partition("/")]]
+    case = lambda k: "CASE " + " ".join(f"WHEN {c} THEN '{x[k]}'" for c, *x in fit) + " END"
+    literal = "s IS NOT NULL AND s NOT IN ('<n>', '<x>', '**', '')"
+    levels = ""
+    for k in range(1, MAX_DEPTH + 2):
+        levels += f"""
+    s{k} AS (SELECT *, seg[{k}] AS s FROM t{k - 1}),
+    w{k} AS (SELECT host, template FROM (SELECT DISTINCT host, template, s FROM s{k} WHERE {literal}) GROUP BY ALL HAVING count(*) > {MAX_CHILDREN}),
+    t{k} AS (SELECT host, seg, labelled, blocked, CASE WHEN s IS NULL THEN template WHEN w.host IS NOT NULL AND {literal} THEN list_append(template, '*') ELSE list_append(template, s) END AS template
+             FROM s{k} LEFT JOIN (SELECT host, template AS wt FROM w{k}) w ON w.host = s{k}.host AND w.wt = s{k}.template),"""
+    levels = levels.replace("SELECT host, seg, labelled", "SELECT s_.host, seg, labelled")
+    for k in range(1, MAX_DEPTH + 2):
+        levels = levels.replace(f"FROM s{k} LEFT JOIN", f"FROM s{k} s_ LEFT JOIN").replace(f"w.host = s{k}.host AND w.wt = s{k}.template", "w.host = s_.host AND w.wt = s_.template")
+    return rf"""
+    WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+    o AS (SELECT *, {case(1)} AS rule, {case(0)} AS known,
+          list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda x: regexp_replace(regexp_replace(x, '{HEX}', '<x>', 'g'), '[0-9]+', '<n>', 'g')) AS g FROM u),
+    own AS (SELECT page_id, host, path, rule, known, CASE WHEN len(g) > {MAX_DEPTH} THEN list_append(g[1:{MAX_DEPTH}], '**') ELSE g END AS seg FROM o),
+    t0 AS (SELECT host, seg, count(known) AS labelled, count(*) FILTER (known = 'block') AS blocked, CAST([] AS VARCHAR[]) AS template FROM own GROUP BY host, seg),{levels}
+    leaf AS (SELECT host, template, sum(labelled) AS n, sum(blocked) AS b FROM t{MAX_DEPTH + 1} GROUP BY ALL),
+    f AS (SELECT *, coalesce(list_position(list_transform(template, lambda x: NOT contains(x, '<') AND NOT contains(x, '*') AND x <> ''), true), 0) AS i,
+          CASE WHEN n >= {MIN_LABELS} THEN b / n END AS p FROM leaf),
+    h AS (SELECT *, CASE WHEN i = 0 THEN template ELSE template[1:i - 1] || ['?'] || template[i + 1:] END AS shape FROM f),
+    l AS (SELECT *, lag(b) OVER w AS lb, lag(n) OVER w AS ln, lag(p) OVER w AS lp FROM h WINDOW w AS (PARTITION BY host, shape, p IS NULL ORDER BY p, n, template)),
+    e AS (SELECT *, (lb + b) / (ln + n) AS q FROM l),
+    a AS (SELECT *, CAST(p IS NULL OR lp IS NULL OR p - lp > {Z} * sqrt(q * (1 - q) * (1 / ln + 1 / n)) AS INTEGER) AS apart FROM e),
+    c AS (SELECT *, sum(apart) OVER (PARTITION BY host, shape, p IS NULL ORDER BY p, n, template ROWS UNBOUNDED PRECEDING) AS branch,
+          array_to_string(string_split(host, '.')[-2:], '.') AS d2, string_split(host, '.')[-1] AS d1 FROM a),
+    y AS (SELECT host, template, sum(n) OVER (PARTITION BY host, shape, p IS NULL, branch) AS bn, sum(b) OVER (PARTITION BY host, shape, p IS NULL, branch) AS bb,
+          sum(n) OVER (PARTITION BY template) AS an, sum(b) OVER (PARTITION BY template) AS ab, sum(n) OVER (PARTITION BY d1, template) AS tn, sum(b) OVER (PARTITION BY d1, template) AS tb,
+          sum(n) OVER (PARTITION BY d2, template) AS dn, sum(b) OVER (PARTITION BY d2, template) AS db, (sum(b) OVER () + 1) / (sum(n) OVER () + 2) AS prior FROM c),
+    z AS (SELECT host, template, CASE WHEN an >= {MIN_LABELS} AND (bb + {WEIGHT} * (db + {WEIGHT} * (tb + {WEIGHT} * (ab + {WEIGHT} * prior) / (an + {WEIGHT})) / (tn + {WEIGHT})) / (dn + {WEIGHT})) / (bn + {WEIGHT}) >= {THRESHOLD} THEN 'block' ELSE 'allow' END AS learned FROM y),
+    k AS (SELECT t.host, t.seg, z.learned FROM t{MAX_DEPTH + 1} t JOIN z ON t.host = z.host AND t.template = z.template)
+    SELECT own.page_id, own.host, own.path, own.rule, coalesce(own.known, k.learned) AS verdict FROM own JOIN k ON own.host = k.host AND own.seg = k.seg
+"""
+
+
+ORACLE = _oracle()

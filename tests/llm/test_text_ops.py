@@ -44,7 +44,7 @@ def slow_hits(docs, items, window=10):
     return out
 
 
-@pytest.mark.parametrize("block", [200_000, 3])
+@pytest.mark.parametrize("block", [200_000, 12])
 def test_decontamination(spark, block):
     r = random.Random(3)
     words = [f"w{i}" for i in range(12)] + ["É", "ñ9"]
@@ -55,6 +55,20 @@ def test_decontamination(spark, block):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in got.collect()} == slow_hits(texts, items)
 
 
+def test_decontamination_is_the_same_for_any_block(spark):
+    """Repeated and null ids, an item without id, one item of very many windows."""
+    item = " ".join(f"u{i}" for i in range(300))
+    items = [(1, item), (2, "one two three four five six seven eight nine ten eleven"), (None, "p q r"), (2, "lone")]
+    docs = [(1, "four words stand here"), (1, "x one two three four five six seven eight nine ten eleven y"), (None, "one two three four five six seven eight nine ten eleven"), (None, "p q r lone"), (None, None), (3, item), (3, item), (4, "")]
+    frames = spark.createDataFrame(docs, "doc_id int, text string"), spark.createDataFrame(items, "item_id int, text string")
+    got = [sorted((str(r.doc_id), r.n_words, r.n_hit, str(r["items"]), str([tuple(x) for x in r.ranges])) for r in decontam.decontaminate(*frames, block_windows=b).collect()) for b in (200_000, 120)]
+    assert got[0] == got[1]
+    assert [g[:4] for g in got[0]] == sorted([("1", 4, 0, "[]"), ("1", 13, 11, "['2']"), ("None", 11, 11, "['2']"), ("None", 4, 4, "['2']"), ("None", 0, 0, "[]"), ("3", 300, 300, "['1']"), ("3", 300, 300, "['1']"), ("4", 0, 0, "[]")])
+    same = spark.createDataFrame([(i, "p q r") for i in range(40)], "item_id int, text string")
+    with pytest.raises(ValueError):
+        decontam.decontaminate(frames[0], same, block_windows=20)
+
+
 def test_decontamination_without_rows(spark):
     docs, none = frame(spark, ["a b"]), spark.createDataFrame([], "item_id int, text string")
     assert [(r.n_words, r.n_hit) for r in decontam.decontaminate(docs, none).collect()] == [(2, 0)]

@@ -27,7 +27,7 @@ columns are ignored; an empty table of documents gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -173,7 +173,7 @@ def find_windows(docs: DataFrame, windows: list[tuple[list[str], list[str]]], te
             yield pa.record_batch(cols)
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*keep, text).mapInArrow(search, f"{kinds}, n_words long, n_hit long, items array<string>, ranges array<struct<a:long,z:long>>")
+    return docs.select(*[f"`{c}`" for c in keep], F.col(text)).mapInArrow(search, f"{kinds}, n_words long, n_hit long, items array<string>, ranges array<struct<a:long,z:long>>")
 
 
 def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -186,9 +186,8 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
-    """Columns doc_id, n_words, n_hit, items (sorted strings) and ranges (hit word ranges), one row per document."""
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, window: int, block_windows: int) -> tuple[int, Callable[[int], list]]:
+    """Number of blocks, and what reads one."""
     windows = cut(item_windows(benchmark, item_id, item_text, window))
     size = F.greatest(F.lit(1), F.size("items"))
     total = windows.agg(F.sum(size)).first()[0] or 0
@@ -198,7 +197,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id",
         most = windows.groupBy(block.alias("block")).agg(F.sum(size).alias("n")).agg(F.max("n")).first()[0]
         if most > max(block_windows, 16):
             raise ValueError(f"a block holds {most} windows and owners; raise block_windows")
-    read = lambda k: [(r.words, r["items"]) for r in windows.where(block == k).collect()]
+    return blocks, lambda k: [(r.words, r["items"]) for r in windows.where(block == k).collect()]
+
+
+def without_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text holds no window of any item.
+
+    Each block is one more map over what the block before it left, so no row shuffles.
+    """
+    blocks, read = _blocks(benchmark, item_id, item_text, window, block_windows)
+    own = [f"c{i}" for i in range(len(docs.columns))]  # so no column is called like a finding
+    at = own[docs.columns.index(text)]
+    left = docs.toDF(*own)
+    for k in range(blocks):
+        left = find_windows(left, read(k), at, shingle, tuple(own)).where("n_hit = 0").select(*own)
+    return left.toDF(*docs.columns)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, shingle: int = SHINGLE, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """Columns doc_id, n_words, n_hit, items (sorted strings) and ranges (hit word ranges), one row per document."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    blocks, read = _blocks(benchmark, item_id, item_text, window, block_windows)
     if blocks == 1:
         return find_windows(docs, read(0), "text", shingle, ("doc_id",))
     docs = docs.withColumn("text_sha", F.sha2(F.coalesce("text", F.lit("")), 256))

@@ -239,8 +239,8 @@ def removals(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_ch
     return hit.groupBy("doc_id").agg(F.array_sort(F.collect_list("line")).alias("gone"))
 
 
-def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """``docs`` with its texts cut, and columns n_lines and n_removed (of these names, replaced)."""
+def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS, counts: bool = True) -> DataFrame:
+    """``docs`` with its texts cut and, with ``counts``, columns n_lines and n_removed (of these names, replaced)."""
     out_id, gone, done = (unused(docs.columns, c) for c in ("gone_id", "gone", "done"))
     found = cut(removals(docs, doc_id, text, min_chars))
     release(docs.sparkSession)
@@ -266,7 +266,8 @@ def remove_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
         return pd.DataFrame(out, columns=["text", "n_lines", "n_removed"])
 
     own = own.withColumn(done, cut_lines(F.col(text), F.col(gone)))
-    return own.withColumns({text: F.col(f"{done}.text"), "n_lines": F.col(f"{done}.n_lines"), "n_removed": F.col(f"{done}.n_removed")}).drop(out_id, gone, done)
+    new = {text: F.col(f"{done}.text")} | ({c: F.col(f"{done}.{c}") for c in ("n_lines", "n_removed")} if counts else {})
+    return own.withColumns(new).drop(out_id, gone, done)
 
 
 def op8_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quorumtext.runtime import unused
+
 KEY = "quorumtext"
 ROUNDS = 8
 
@@ -163,14 +165,15 @@ def parts_of(value: Column) -> Column:
 
 
 def pseudonymise(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
-    """``docs`` with its texts' values replaced and ``pii``, the number of each kind (clashing columns are replaced)."""
-    had = docs.withColumn("_found", F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(FOUND), F.lit(0))).otherwise(F.array().cast("array<string>")))
-    some = F.size("_found") > 0
-    swapped = had.withColumn("_new", F.transform(F.transform("_found", parts_of), lambda v: F.struct(F.transform(v, kind_of).alias("kinds"), F.array_join(F.transform(v, lambda x: pseudonym(x, key)), "").alias("value"))))
-    pieces = F.zip_with(F.split(F.col(text), FOUND, -1), F.col("_new"), lambda p, n: F.concat(p, F.coalesce(n["value"], F.lit(""))))
-    count = lambda k: F.size(F.filter(F.flatten("_new.kinds"), lambda n: n == k)).alias(k)
+    """``docs`` with its texts' values replaced and ``pii``, the number of each kind (a column of that name is replaced)."""
+    found, new = (unused(docs.columns, c) for c in ("found", "new"))
+    had = docs.withColumn(found, F.when(F.col(text).rlike("[0-9@]"), F.regexp_extract_all(F.col(text), F.lit(FOUND), F.lit(0))).otherwise(F.array().cast("array<string>")))
+    some = F.size(found) > 0
+    swapped = had.withColumn(new, F.transform(F.transform(found, parts_of), lambda v: F.struct(F.transform(v, kind_of).alias("kinds"), F.array_join(F.transform(v, lambda x: pseudonym(x, key)), "").alias("value"))))
+    pieces = F.zip_with(F.split(F.col(text), FOUND, -1), F.col(new), lambda p, n: F.concat(p, F.coalesce(n["value"], F.lit(""))))
+    count = lambda k: F.size(F.filter(F.flatten(f"{new}.kinds"), lambda n: n == k)).alias(k)
     kinds = F.struct(*[count(k) for k in ("card", "ipv4", "phone", "date", "email")])
-    return swapped.withColumns({text: F.when(some, F.array_join(pieces, "")).otherwise(F.col(text)), "pii": kinds}).drop("_found", "_new")
+    return swapped.withColumns({text: F.when(some, F.array_join(pieces, "")).otherwise(F.col(text)), "pii": kinds}).drop(found, new)
 
 
 def op7_pii(spark, sf_dir: str) -> DataFrame:

@@ -8,14 +8,17 @@ ends and tabs as spaces), long enough for a word's start of a few accented lette
    found by a broadcast of its ids (bounded by ``max_train``), so the corpus never shuffles.
 2. Executors count each n-gram's texts per class; a feature's ratio is
    r = log((p / |p|) / (q / |q|)) of its smoothed counts p (toxic) and q (other).
-   The ``max_features`` n-grams with the largest chi-square statistic are kept.
-3. Logistic regression with an L2 penalty is fitted on the driver to x * r; its size is
-   bounded by max_train * max_features bits.
+   All n-grams whose chi-square statistic reaches ``least_chi`` are features, however many
+   (at 20 chance alone makes some eight of the 2**20 hash values one); under 160 rows an
+   eighth of the rows is asked for, as the statistic cannot exceed their number.
+3. Logistic regression with an L2 penalty is fitted on the driver to x * r, from the sparse
+   rows of the sample's features. A model is at most 2**20 numbers and weights.
 4. Every text is scored by one map over the corpus.
 
 Edge cases: a null or empty text has no features and gets the intercept's probability; a
 label other than 0 and 1, or a null id, teaches nothing; several labels of one id count as
-toxic if any is; without rows of both classes each text gets the smoothed share of toxic
+toxic if any is, and of several texts of one id the least is learned; extra columns are
+passed on (one called like the score is replaced); an empty table stays empty; without rows of both classes each text gets the smoothed share of toxic
 rows. Only the text is ever an input of a score.
 """
 
@@ -40,7 +43,7 @@ PLAIN[9:14] = 32
 SIZES = (3, 4, 5, 6, 7)
 BITS = 20
 MAX_TRAIN = 20_000
-MAX_FEATURES = 2048
+LEAST_CHI = 20.0
 ALPHA = 1.0
 SLICE = 1 << 18  # bytes of text whose n-grams are held at once
 L2 = 1e-4
@@ -144,33 +147,38 @@ def fit_logistic(row: np.ndarray, col: np.ndarray, r: np.ndarray, y: np.ndarray,
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_train: int) -> DataFrame:
-    """(text, y) of the labelled rows with the smallest hashed ids, at most ``max_train`` ids."""
+    """(text, y) of the labelled ids with the smallest hashes, at most ``max_train`` rows."""
     one = labels.where(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("_id")).agg(F.max(label).cast("int").alias("y"))
     chosen = one.orderBy(F.xxhash64("_id"), "_id").limit(max_train)
-    return docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id").select("text", "y")
+    own = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "_id")
+    return own.groupBy("_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES, l2: float = L2) -> Model:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, least_chi: float = LEAST_CHI, l2: float = L2) -> Model:
+    """A model of ``label`` from at most ``max_train`` labelled documents.
+
+    ``labels`` has the columns ``doc_id`` and ``label`` (0 or 1); others teach nothing.
+    """
     rows = cut(training_rows(docs, labels, doc_id, text, label, max_train))
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = n.get(0, 0), n.get(1, 0)
-    lut = np.full(1 << BITS, -1, np.int16)
+    lut = np.full(1 << BITS, -1, np.int32)
+    flat = Model(lut, np.zeros(1), float(np.log((n1 + 1) / (n0 + 1))))
     if not n0 or not n1:
-        return Model(lut, np.zeros(1), float(np.log((n1 + 1) / (n0 + 1))))
+        return flat
     counts = rows.coalesce(16).mapInArrow(class_counts, "bucket int, n0 long, n1 long").groupBy("bucket").agg(F.sum("n0").alias("a"), F.sum("n1").alias("b"))
     p, q = F.col("b") + F.lit(ALPHA), F.col("a") + F.lit(ALPHA)
-    total = n0 + n1
-    share = (F.col("a") + F.col("b")) / F.lit(total)
+    share = (F.col("a") + F.col("b")) / F.lit(n0 + n1)
     chi = F.pow(F.col("b") - share * n1, 2) / (share * n1) + F.pow(F.col("a") - share * n0, 2) / (share * n0)
     counts = cut(counts)
     norm = counts.agg(F.sum(p).alias("p"), F.sum(q).alias("q")).first()
-    best = counts.where((F.col("a") + F.col("b") >= 2) & (share < 0.9)).orderBy(F.desc(chi), "bucket").limit(max_features).collect()
-    if not best:
-        return Model(lut, np.zeros(1), float(np.log((n1 + 1) / (n0 + 1))))
-    lut[[x.bucket for x in best]] = np.arange(len(best))
-    r = np.array([np.log(((x.b + ALPHA) / norm.p) / ((x.a + ALPHA) / norm.q)) for x in best])
-    sent = docs.sparkSession.sparkContext.broadcast(lut)
+    best = counts.where(chi >= min(least_chi, (n0 + n1) / 8)).orderBy("bucket").toPandas()
+    if not len(best):
+        return flat
     m = len(best)
+    lut[best.bucket.to_numpy(np.int64)] = np.arange(m)
+    r = np.log(((best.b + ALPHA) / norm.p) / ((best.a + ALPHA) / norm.q)).to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(lut)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -178,10 +186,10 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             for s in slices(b.column(0), SLICE):
                 row, f = present(PLAIN[s.data], s.bounds, sent.value, m)
                 got += np.split(f.astype(np.int32), np.searchsorted(row, np.arange(1, s.hi - s.lo)))
-            yield pa.record_batch({"f": pa.array([x.astype("<u2").tobytes() for x in got], pa.binary()), "y": b.column(1)})
+            yield pa.record_batch({"f": pa.array([x.tobytes() for x in got], pa.binary()), "y": b.column(1)})
 
     got = rows.mapInArrow(features, "f binary, y int").toPandas()
-    cols = [np.frombuffer(x, "<u2").astype(np.int64) for x in got.f]
+    cols = [np.frombuffer(x, np.int32) for x in got.f]
     row = np.repeat(np.arange(len(cols)), [len(c) for c in cols])
     w, b = fit_logistic(row, np.concatenate(cols), r, got.y.to_numpy(float), l2)
     return Model(lut, w * r, b)

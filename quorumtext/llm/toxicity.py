@@ -8,9 +8,10 @@ ends and tabs as spaces), long enough for a word's start of a few accented lette
    found by a broadcast of its ids (bounded by ``max_train``), so the corpus never shuffles.
 2. Executors count each n-gram's texts per class; a feature's ratio is
    r = log((p / |p|) / (q / |q|)) of its smoothed counts p (toxic) and q (other).
-   All n-grams whose chi-square statistic reaches ``least_chi`` are features, however many
-   (at 20 chance alone makes some eight of the 2**20 hash values one); under 160 rows an
-   eighth of the rows is asked for, as the statistic cannot exceed their number.
+   All n-grams whose chi-square statistic is at least ``least_effect`` a row (it is 1 a row
+   at most) are features, however many. In small samples the statistic must also reach 20,
+   where chance alone makes some eight of the 2**20 hash values a feature, or an eighth of
+   the rows' number.
 3. Logistic regression with an L2 penalty is fitted on the driver to x * r, from the sparse
    rows of the sample's features. A model is at most 2**20 numbers and weights.
 4. Every text is scored by one map over the corpus.
@@ -43,7 +44,7 @@ PLAIN[9:14] = 32
 SIZES = (3, 4, 5, 6, 7)
 BITS = 20
 MAX_TRAIN = 20_000
-LEAST_CHI = 20.0
+LEAST_EFFECT = 1 / 160
 ALPHA = 1.0
 SLICE = 1 << 18  # bytes of text whose n-grams are held at once
 L2 = 1e-4
@@ -154,7 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, la
     return own.groupBy("_id", "y").agg(F.min("text").alias("text")).select("text", "y")
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, least_chi: float = LEAST_CHI, l2: float = L2) -> Model:
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", max_train: int = MAX_TRAIN, least_effect: float = LEAST_EFFECT, l2: float = L2) -> Model:
     """A model of ``label`` from at most ``max_train`` labelled documents.
 
     ``labels`` has the columns ``doc_id`` and ``label`` (0 or 1); others teach nothing.
@@ -172,7 +173,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     chi = F.pow(F.col("b") - share * n1, 2) / (share * n1) + F.pow(F.col("a") - share * n0, 2) / (share * n0)
     counts = cut(counts)
     norm = counts.agg(F.sum(p).alias("p"), F.sum(q).alias("q")).first()
-    best = counts.where(chi >= min(least_chi, (n0 + n1) / 8)).orderBy("bucket").toPandas()
+    least = max(least_effect * (n0 + n1), min(20.0, (n0 + n1) / 8))
+    best = counts.where(chi >= least).orderBy("bucket").toPandas()
     if not len(best):
         return flat
     m = len(best)

@@ -1,12 +1,13 @@
 """Arrow text columns as numpy arrays: words, word hashes and shingles of many rows at once.
 
-Every function works on one *slice* of a batch: about a megabyte of UTF-8, however
+Every function works on one *slice* of a batch: about half a megabyte of UTF-8, however
 many rows that is (one very long text is a slice of its own), so temporary arrays
 stay small whatever the rows hold.
 """
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,12 +15,28 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 _BASE = 0x9E3779B97F4A7C15 | 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 _M64 = (1 << 64) - 1
 
 
+def give_back() -> None:
+    """Let large freed blocks go back to the system at once.
+
+    Python workers live on between tasks, several beside each other; what each keeps of its
+    largest batch would add up. Only where the C library has these settings.
+    """
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        for setting, value in ((-3, 1 << 20), (-1, 1 << 20), (-8, 2)):  # mmap threshold, trim threshold, arenas
+            mallopt(setting, value)
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+give_back()
+
+
 def lower_ascii_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32

@@ -29,7 +29,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -201,17 +200,17 @@ def score(docs: DataFrame, model: Model, text: str = "text", to: str = "score")
     """``docs`` with column ``to``: the probability that the text is toxic."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def each(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def each(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
         for t in texts:
             out = []
-            for s in slices(pa.array(t, pa.large_string(), from_pandas=True), SLICE):
+            for s in slices(t, SLICE):
                 row, f = present(PLAIN[s.data], s.bounds, m.lut, len(m.weight))
                 out.append(m.bias + np.bincount(row, weights=m.weight[f], minlength=s.hi - s.lo))
             z = np.concatenate(out) if out else np.zeros(0)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -35, 35))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(z, -35, 35))))
 
-    return docs.withColumn(to, F.pandas_udf(each, "double")(F.col(text)))
+    return docs.withColumn(to, F.arrow_udf(each, "double")(F.col(text)))
 
 
 def in_fold(doc_id: str | Column, folds: int = 5) -> Column:

@@ -29,7 +29,7 @@ def give_back() -> None:
     """
     mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
     if mallopt is not None:
-        for setting, value in ((-3, 1 << 20), (-1, 1 << 20), (-8, 2)):  # mmap threshold, trim threshold, arenas
+        for setting, value in ((-3, 8 << 20), (-1, 32 << 20), (-8, 2)):  # mmap threshold, trim threshold, arenas
             mallopt(setting, value)
         pa.set_memory_pool(pa.system_memory_pool())
 

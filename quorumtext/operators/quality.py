@@ -121,7 +121,17 @@ def model_notes(turns: DataFrame, orphans: DataFrame) -> DataFrame:
 
 def language_density(text: str | Column, lexicon: list[str]) -> Column:
     """Share of a text's words that are in a lexicon; null without words."""
-    own = bare_words_in_order(text)
+    own = F.transform(F.array(bare_words_in_order(text)), lambda w: _density(w, lexicon))
+    return F.element_at(own, 1)
+
+
+def language_densities(text: str | Column, lexicons: dict[str, list[str]]) -> Column:
+    """A struct with the share of each lexicon; the text's words are taken once."""
+    own = F.transform(F.array(bare_words_in_order(text)), lambda w: F.struct(*[_density(w, v).alias(k) for k, v in lexicons.items()]))
+    return F.element_at(own, 1)
+
+
+def _density(own: Column, lexicon: list[str]) -> Column:
     return F.size(F.filter(own, lambda w: w.isin([x.lower() for x in lexicon]))) / F.nullif(F.size(own), F.lit(0))
 
 
@@ -172,14 +182,17 @@ def rollup(findings: DataFrame, checks: list[str], key: str = "video_id") -> Dat
     return findings.groupBy(key).agg(*[F.count_if(F.col("check") == c).alias(c) for c in checks], F.count(F.lit(1)).alias("n_findings"))
 
 
-def corrected(turns: DataFrame, corrections: DataFrame, text: str = "text") -> DataFrame:
+def corrected(turns: DataFrame, corrections: DataFrame, text: str = "text", most: int = 2000) -> DataFrame:
     """Reviewed replacements (ord, wrong, right, scope), whole words, in order, in their scope (null: everywhere).
 
-    Corrections are decisions a person has written down: a short list that becomes part of
-    the plan.
+    Corrections are decisions a person has written down, a list that becomes part of the plan;
+    more than ``most`` are refused.
     """
     out = F.col(text)
-    for c in corrections.orderBy("ord").collect():
+    listed = corrections.orderBy("ord").limit(most + 1).collect()
+    if len(listed) > most:
+        raise ValueError(f"more than {most} corrections")
+    for c in listed:
         swapped = F.regexp_replace(out, rf"(?<!\w)\Q{c.wrong}\E(?!\w)", c.right.replace("\\", "\\\\").replace("$", "\\$"))
         out = swapped if c.scope is None else F.when(F.col("video_id") == c.scope, swapped).otherwise(out)
     return turns.withColumn(text, out)

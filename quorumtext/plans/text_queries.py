@@ -71,7 +71,8 @@ def findings_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lang_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each small word list in each document."""
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", *[F.round(quality.language_density("text", list(v)), 6).alias(f"d_{k}") for k, v in LANGUAGES.items()])
+    shares = d.select("doc_id", "lang", quality.language_densities("text", {k: list(v) for k, v in LANGUAGES.items()}).alias("x"))
+    return shares.select("doc_id", "lang", *[F.round(f"x.{k}", 6).alias(f"d_{k}") for k in LANGUAGES])
 
 
 def index_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,7 +91,7 @@ def source_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slug and length label of each document."""
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", T.slug(F.substring(F.col("text"), 1, 200)).alias("slug"), T.duration_label("n_chars").alias("length"))
+    return d.select("doc_id", T.slug("text").alias("slug"), T.duration_label("n_chars").alias("length"))
 
 
 def admission(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,13 +185,18 @@ ORACLE_SQL = {
     """,
     "source_totals": "SELECT source, lang, count(*) AS n_docs, round(sum(n_chars) / 1000, 3) AS kilochars FROM documents GROUP BY source, lang",
     "slugs": f"""
-        SELECT doc_id, left(regexp_replace(regexp_replace(translate(lower(left(text, 200)), '{_FOLD}'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60) AS slug,
+        SELECT doc_id, left(regexp_replace(regexp_replace(translate(lower(text), '{_FOLD}'), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 60) AS slug,
                (n_chars // 3600) || 'h ' || (n_chars % 3600 // 60) || 'm' AS length FROM documents
     """,
     "admission": "SELECT doc_id, n_chars AS duration_seconds FROM documents WHERE n_chars >= 3600",
     "filler_removal": f"""
         SELECT conv_id, turn, coalesce(array_to_string(list_filter({_WORDS.format(c='text')}, lambda w: {_BARE} NOT IN ({_LIST})), ' '), '') AS text FROM conversations
     """,
+    "names_absent": r"""
+        WITH f AS (SELECT DISTINCT conv_id, role, unnest(regexp_extract_all(coalesce(text, ''), '\p{Lu}[\p{L}''.-]+(?: (?:bin|binti|bt|al|a/l|a/p)?\.? ?\p{Lu}[\p{L}''.-]+)+')) AS name FROM conversations)
+        SELECT DISTINCT conv_id, name FROM f a WHERE role = 'assistant'
+          AND NOT EXISTS (SELECT 1 FROM f b WHERE b.role = 'user' AND b.conv_id = a.conv_id AND lower(left(a.name, 1)) = lower(left(b.name, 1)) AND levenshtein(a.name, b.name) <= 2)
+    """,
     "coverage_gaps": """
         WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, event_type = 'click' AS c FROM events),
         b AS (SELECT user_id, h, bool_or(c) AS shown, bool_or(NOT c) AS said FROM e GROUP BY user_id, h)

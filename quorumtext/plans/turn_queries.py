@@ -50,15 +50,15 @@ def layer_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_in_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases with the session, from one login to the next, that holds them."""
+    """Other events with the click, up to the user's next one, that they follow."""
     e = table(spark, sf_dir, "events")
     from pyspark.sql import Window
 
     second = F.unix_timestamp(F.col("ts").cast("timestamp")).alias("sec")
     kinds = e.select("user_id", "event_id", "event_type", second)
     w = Window.partitionBy("user_id").orderBy("sec", "event_id")
-    marks = kinds.where("event_id % 5 = 0").select("user_id", F.col("event_id").alias("mark_id"), F.col("sec").alias("from_sec"), F.lead("sec").over(w).alias("to_sec"))
-    points = kinds.where("event_id % 5 <> 0").select("event_id", "user_id", "sec")
+    marks = kinds.where("event_type = 'click'").select("user_id", F.col("event_id").alias("mark_id"), F.col("sec").alias("from_sec"), F.lead("sec").over(w).alias("to_sec"))
+    points = kinds.where("event_type <> 'click'").select("event_id", "user_id", "sec")
     out = speakers.point_in_interval(points, marks.where("to_sec IS NOT NULL"), ["user_id"], "sec", "from_sec", "to_sec", 86400.0, ["mark_id", "from_sec"])
     return out.select("event_id", "mark_id", "from_sec")
 
@@ -136,10 +136,10 @@ ORACLE_SQL = {
         FROM w a JOIN w b ON a.conv_id = b.conv_id AND a.role = 'user' AND b.role = 'assistant'
     """,
     "point_in_interval": """
-        WITH e AS (SELECT event_id, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
-        m AS (SELECT user_id, event_id AS mark_id, s AS a, lead(s) OVER (PARTITION BY user_id ORDER BY s, event_id) AS z FROM e WHERE event_id % 5 = 0),
+        WITH e AS (SELECT event_id, event_type, user_id, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
+        m AS (SELECT user_id, event_id AS mark_id, s AS a, lead(s) OVER (PARTITION BY user_id ORDER BY s, event_id) AS z FROM e WHERE event_type = 'click'),
         h AS (SELECT p.event_id, m.mark_id, m.a, row_number() OVER (PARTITION BY p.event_id ORDER BY m.a DESC NULLS LAST, m.z, m.mark_id DESC) AS k
-              FROM e p LEFT JOIN m ON p.user_id = m.user_id AND p.s >= m.a AND p.s < m.z WHERE p.event_id % 5 <> 0)
+              FROM e p LEFT JOIN m ON p.user_id = m.user_id AND p.s >= m.a AND p.s < m.z WHERE p.event_type <> 'click')
         SELECT event_id, mark_id, a AS from_sec FROM h WHERE k = 1
     """,
     "override_coalesce": """

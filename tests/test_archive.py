@@ -138,3 +138,23 @@ def test_anchors_of_the_archive(spark):
     assert t == {"raw": (13_935, 674_152), "interview": (13_018, 1_066_559), "interview-en": (13_089, 1_156_955), "interview-ms": (11_497, 930_032)}
     assert archive.orphans(files).count() == 1
     files.unpersist()
+
+
+def test_command_lines(spark, files, corpus, tmp_path):
+    from quorumtext import tools
+
+    page = tmp_path / "README.md"
+    for locale, word in (("en", "Title"), ("ms", "Tajuk")):
+        page.write_text("# x\n\n<!-- BEGIN INDEX -->\nold\n<!-- END INDEX -->\n\n<!-- BEGIN TOPICS -->\n<!-- END TOPICS -->\nend\n", encoding="utf-8")
+        tools.index(spark, str(corpus), str(page), locale)
+        once = page.read_text(encoding="utf-8")
+        assert f"| {word} |" in once and "\nold\n" not in once and "- 2024-01-08 It's one" in once and once.endswith("end\n")
+        tools.index(spark, str(corpus), str(page), locale)
+        assert page.read_text(encoding="utf-8") == once
+    out = tmp_path / "report.md"
+    tools.check(spark, str(corpus), str(out))
+    lines = out.read_text(encoding="utf-8").splitlines()
+    assert lines[0] == "| video_id | repeat | order | figure | model_note | orphan | n_findings |"
+    assert lines[2:] == ["| aaaaaaaaaaa | 0 | 0 | 0 | 1 | 1 | 2 |"]  # "[Pause]" is a speaker, the stray remark an orphan
+    with pytest.raises(SystemExit):
+        tools.main([])

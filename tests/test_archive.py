@@ -155,6 +155,6 @@ def test_command_lines(spark, files, corpus, tmp_path):
     tools.check(spark, str(corpus), str(out))
     lines = out.read_text(encoding="utf-8").splitlines()
     assert lines[0] == "| video_id | repeat | order | figure | model_note | orphan | n_findings |"
-    assert lines[2:] == ["| aaaaaaaaaaa | 0 | 0 | 0 | 1 | 1 | 2 |"]  # "[Pause]" is a speaker, the stray remark an orphan
+    assert lines[2:] == ["| aaaaaaaaaaa | 0 | 0 | 0 | 0 | 1 | 1 |"]  # the stray remark; "[Pause]" is a speaker
     with pytest.raises(SystemExit):
         tools.main([])

@@ -87,9 +87,47 @@ def test_co_training_learns_from_the_pool():
     r = np.random.default_rng(0)
     y = r.integers(0, 2, 2000)
     views = [np.stack([y + r.normal(0, 0.5, 2000), r.normal(size=2000)], 1) for _ in range(2)]
-    few = slice(0, 300)
-    model = quality.co_train([v[few] for v in views], y[few], [v[300:1000] for v in views])
+    few, pool = slice(0, 300), np.arange(300, 1000)
+    given = []
+
+    def surest(fitted, k, label, n, known):
+        odds = fitted[k].raw(views[k][pool]) * (1 if label else -1)
+        ids = [int(i) for i in pool[np.argsort(-odds, kind="stable")] if i not in known][:n]
+        given.append((k, label, ids))
+        return ids, views[1 - k][ids]
+
+    model = quality.co_train([v[few] for v in views], y[few], surest, rounds=3, gifts=40)
     assert ((model.scores([v[1000:] for v in views])[2] > 0.5) == y[1000:]).mean() > 0.88
+    handed = [i for k, _, ids in given for i in ids if k == 0]
+    assert len(given) == 12 and len(handed) == len(set(handed)) > 100
+
+
+def test_pool_finds_the_surest_of_all_rows(spark):
+    """The executors' choice equals a plain sort of every unlabelled row, ties and copies included."""
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(["good", "bad", "the", "x1", "!!"]) for _ in range(r.randrange(0, 9))), r.choice(["en", "de", None]), r.choice("st"), r.randrange(50)) for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:5] + [(None, "x", "en", "s", 1)], "doc_id int, text string, lang string, source string, n_chars long")
+    feats = quality.features_of(docs).where("id IS NOT NULL")
+    meta = quality.Meta(["en"], ["s"])
+    make = lambda f: [quality._unpacked(list(f.t)), meta.features(*(quality._plain(f[c]) for c in ("lang", "source", "n_chars")))]
+    x = make(feats.toPandas().drop_duplicates("id").sort_values("id"))
+    views = [quality.View(np.zeros(v.shape[1]), np.ones(v.shape[1]), np.linspace(-9, 9, v.shape[1] + 1)) for v in x]
+    pool = quality._Pool(feats, meta, make)
+    for k in (0, 1):
+        for label in (0, 1):
+            odds = views[k].raw(x[k]) * (1 if label else -1)
+            least = np.log(quality.CONFIDENT / (1 - quality.CONFIDENT))
+            want = [i for i in sorted(range(60), key=lambda i: (-odds[i], i)) if odds[i] >= least and i not in {1, 2}][:7]
+            ids, other = pool(views, k, label, 7, {1, 2})
+            assert sorted(ids) == sorted(want) and np.allclose(other, x[1 - k][ids] if ids else other)
+
+
+def test_text_features_by_hand():
+    f = quality.text_features(quality.pa.array(["Ab ab!\n1", None, ""], quality.pa.large_string()))
+    assert f.shape == (3, quality.N_TEXT) and not f[1].any() and not f[2].any()
+    assert np.allclose(f[0][:5], [3 / 8, 1 / 8, 1 / 8, 1 / 8, 1 / 8])
+    assert np.isclose((f[0][-quality.WORDS :] ** 2).sum() * 3, 3, atol=4)  # three different words
+    assert np.allclose(quality._unpacked(quality._packed(f)), f, atol=1 / 60)
 
 
 def slow_rule(url):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
+from quorumtext.llm import decontam, filteraudit, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op12_filter_audit": filteraudit.op12_filter_audit,
 }
 
 ORACLE_SQL = {
     "op6_decontamination": decontam.ORACLE,
     "op8_line_dedup": linededup.ORACLE,
     "op9_url_filter": urlfilter.ORACLE,
+    "op12_filter_audit": filteraudit.ORACLE,
 }

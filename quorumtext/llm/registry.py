@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import decontam, filteraudit, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
+from quorumtext.llm import convtrie, decontam, filteraudit, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
     "op12_filter_audit": filteraudit.op12_filter_audit,
+    "op13_conversation_trie": convtrie.op13_conversation_trie,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op8_line_dedup": linededup.ORACLE,
     "op9_url_filter": urlfilter.ORACLE,
     "op12_filter_audit": filteraudit.ORACLE,
+    "op13_conversation_trie": convtrie.ORACLE,
 }

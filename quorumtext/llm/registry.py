@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quorumtext.llm import convtrie, decontam, filteraudit, linededup, media, pii, quality, simhash, spiece, substring, toxicity, urlfilter
+from quorumtext.llm import convtrie, decontam, filteraudit, linededup, media, multiindex, pii, quality, simhash, spiece, substring, toxicity, urlfilter
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_dedup": linededup.op8_line_dedup,
     "op9_url_filter": urlfilter.op9_url_filter,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_nearest": multiindex.op11_nearest,
     "op12_filter_audit": filteraudit.op12_filter_audit,
     "op13_conversation_trie": convtrie.op13_conversation_trie,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumtext.functions.text import figures, n_words, words
+from quorumtext.runtime import cut
 
 LOOP_REPEATS, LOOP_RATE, LOOP_SPEECH, LOOP_LONG = 10, 7.0, 0.20, 25
 
@@ -43,18 +44,26 @@ def figures_absent(published: DataFrame, raw: DataFrame, key: list[str], text: s
     return found(published).join(found(raw), [*key, "figure"], "left_anti")
 
 
+NAME = r"\p{Lu}[\p{L}'.-]+(?: (?:bin|binti|bt|al|a/l|a/p)?\.? ?\p{Lu}[\p{L}'.-]+)+"
+
+
+def names_in(texts: DataFrame, key: list[str], text: str = "text") -> DataFrame:
+    """(key, name): the different runs of two or more capitalised words."""
+    return texts.select(*key, F.explode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(NAME), F.lit(0))).alias("name")).distinct()
+
+
 def names_absent(published: DataFrame, raw: DataFrame, key: list[str], text: str = "text", edits: int = 2) -> DataFrame:
-    """(key, name): runs of two or more capitalised words without a run within ``edits`` edits in the raw text.
+    """(key, name): names of the published text without one within ``edits`` edits in the raw text of the same key.
 
-    Names that the raw text has as they are go first; the rest are compared inside their
-    recording only with names of like length and first letter.
+    Names that the raw text has as they are go first; the rest are looked up in a q-gram index, which
+    misses no name that near, whatever letter it differs in.
     """
-    name = r"\p{Lu}[\p{L}'.-]+(?: (?:bin|binti|bt|al|a/l|a/p)?\.? ?\p{Lu}[\p{L}'.-]+)+"
-    found = lambda t: t.select(*key, F.explode(F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(name), F.lit(0))).alias("name")).distinct()
-    rest = found(published).join(found(raw), [*key, "name"], "left_anti").withColumn("_a", F.lower(F.substring("name", 1, 1)))
-    known = found(raw).select(*key, F.lower(F.substring("name", 1, 1)).alias("_a"), F.col("name").alias("_known"))
-    alike = rest.join(known, [*key, "_a"]).where((F.levenshtein("name", "_known", edits) >= 0)).select(*key, "name").distinct()
-    return rest.drop("_a").join(alike, [*key, "name"], "left_anti")
+    from quorumtext.operators.fuzzy import within_edits
+
+    known = names_in(raw, key, text)
+    rest = cut(names_in(published, key, text).join(known, [*key, "name"], "left_anti"))
+    alike = within_edits(rest.withColumnRenamed("name", "s"), known.withColumnRenamed("name", "s"), key, edits)
+    return rest.join(alike.select(*key, F.col("s").alias("name")).distinct(), [*key, "name"], "left_anti")
 
 
 def repeat_runs(rows: DataFrame, key: list[str], order: str, item: str, least: int = 2) -> DataFrame:
@@ -66,21 +75,12 @@ def repeat_runs(rows: DataFrame, key: list[str], order: str, item: str, least: i
     return per.where(F.col("repeats") >= least).drop("_run")
 
 
-def ngram_loops(texts: DataFrame, key: list[str], text: str = "text", longest: int = 5, least: int = 5) -> DataFrame:
-    """(key, n, first, repeats, phrase): n-grams of up to ``longest`` words repeated back to back, first word of each run.
+def ngram_loops(texts: DataFrame, key: list[str], text: str = "text", least: int = 5) -> DataFrame:
+    """(key, n, first, repeats, phrase): phrases of any length repeated back to back, first word of each run."""
+    from quorumtext.operators.loops import loop_rows
 
-    A word that equals the one n places before continues a run of period n, so a run of
-    m such words is (m + n) / n repeats; runs come from gaps and islands over word places.
-    """
-    w = texts.select(*key, F.posexplode(bare_words_in_order(text)).alias("pos", "word"))
-    found = None
-    for n in range(1, longest + 1):
-        win = Window.partitionBy(*key).orderBy("pos")
-        same = w.withColumn("_same", F.lag("word", n).over(win) == F.col("word")).withColumn("_run", F.sum(F.when(F.col("_same"), 0).otherwise(1)).over(win.rowsBetween(Window.unboundedPreceding, 0)))
-        per = same.where("_same").groupBy(*key, "_run").agg((F.min("pos") - n).alias("first"), F.count(F.lit(1)).alias("_m"), F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("_w"))
-        got = per.select(*key, F.lit(n).alias("n"), "first", F.floor((F.col("_m") + n) / n).cast("int").alias("repeats"), F.array_join(F.transform(F.slice("_w", 1, n), lambda x: x["word"]), " ").alias("phrase")).where(F.col("repeats") >= least)
-        found = got if found is None else found.unionByName(got)
-    return found
+    found = loop_rows(texts, key, text, least).where("unit = 'word'")
+    return found.select(*key, F.col("period").alias("n"), "first", "repeats", "phrase")
 
 
 def bare_words_in_order(text: str | Column) -> Column:
@@ -182,22 +182,6 @@ def rollup(findings: DataFrame, checks: list[str], key: str = "video_id") -> Dat
     return findings.groupBy(key).agg(*[F.count_if(F.col("check") == c).alias(c) for c in checks], F.count(F.lit(1)).alias("n_findings"))
 
 
-def corrected(turns: DataFrame, corrections: DataFrame, text: str = "text", most: int = 2000) -> DataFrame:
-    """Reviewed replacements (ord, wrong, right, scope), whole words, in order, in their scope (null: everywhere).
-
-    Corrections are decisions a person has written down, a list that becomes part of the plan;
-    more than ``most`` are refused.
-    """
-    out = F.col(text)
-    listed = corrections.orderBy("ord").limit(most + 1).collect()
-    if len(listed) > most:
-        raise ValueError(f"more than {most} corrections")
-    for c in listed:
-        swapped = F.regexp_replace(out, rf"(?<!\w)\Q{c.wrong}\E(?!\w)", c.right.replace("\\", "\\\\").replace("$", "\\$"))
-        out = swapped if c.scope is None else F.when(F.col("video_id") == c.scope, swapped).otherwise(out)
-    return turns.withColumn(text, out)
-
-
 def without_phrase(text: str | Column, phrase: str) -> Column:
     """The text without a fixed sentence."""
     return F.trim(F.regexp_replace(F.regexp_replace(text, rf"\Q{phrase}\E", ""), " {2,}", " "))

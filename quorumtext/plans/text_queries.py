@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
 from quorumtext.operators import quality
+from quorumtext.operators.corrections import corrected
 from quorumtext.runtime import table
 
 # Fixed values of the queries: a neutral lexicon, phrases, small word lists by language.
@@ -115,15 +116,15 @@ def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ngram_loops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Phrases of up to three words said five times or more in a row."""
-    return quality.ngram_loops(table(spark, sf_dir, "documents"), ["doc_id"], longest=3)
+    """Phrases of any length said five times or more in a row."""
+    return quality.ngram_loops(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
 def corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns after two reviewed replacements, the second in one conversation only."""
     fixed = spark.createDataFrame([(1, "the", "THE", None), (2, "and", "&", 1)], "ord int, wrong string, right string, scope long")
     t = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "video_id")
-    return quality.corrected(t, fixed).select(F.col("video_id").alias("conv_id"), "turn", "text")
+    return corrected(t, fixed).select(F.col("video_id").alias("conv_id"), "turn", "text")
 
 
 def names_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -195,7 +196,7 @@ ORACLE_SQL = {
     "names_absent": r"""
         WITH f AS (SELECT DISTINCT conv_id, role, unnest(regexp_extract_all(coalesce(text, ''), '\p{Lu}[\p{L}''.-]+(?: (?:bin|binti|bt|al|a/l|a/p)?\.? ?\p{Lu}[\p{L}''.-]+)+')) AS name FROM conversations)
         SELECT DISTINCT conv_id, name FROM f a WHERE role = 'assistant'
-          AND NOT EXISTS (SELECT 1 FROM f b WHERE b.role = 'user' AND b.conv_id = a.conv_id AND lower(left(a.name, 1)) = lower(left(b.name, 1)) AND levenshtein(a.name, b.name) <= 2)
+          AND NOT EXISTS (SELECT 1 FROM f b WHERE b.role = 'user' AND b.conv_id = a.conv_id AND levenshtein(a.name, b.name) <= 2)
     """,
     "coverage_gaps": """
         WITH e AS (SELECT user_id, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS h, event_type = 'click' AS c FROM events),
@@ -204,12 +205,13 @@ ORACLE_SQL = {
         FROM b GROUP BY user_id
     """,
     "ngram_loops": f"""
-        WITH w AS (SELECT doc_id, x[i] AS word, i - 1 AS pos FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT doc_id, list_transform({_WORDS.format(c='text')}, lambda w: {_BARE}) AS x FROM documents))),
-        s AS (SELECT doc_id, n, pos, word, coalesce(word = CASE n WHEN 1 THEN lag(word, 1) OVER o WHEN 2 THEN lag(word, 2) OVER o ELSE lag(word, 3) OVER o END, false) AS same
-              FROM w, (SELECT unnest([1, 2, 3]) AS n) WINDOW o AS (PARTITION BY doc_id, n ORDER BY pos)),
-        r AS (SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, n ORDER BY pos ROWS UNBOUNDED PRECEDING) AS run FROM s),
-        g AS (SELECT doc_id, n, min(pos) - n AS first, (count(*) + n) // n AS repeats, array_to_string(list(word ORDER BY pos)[1:n], ' ') AS phrase FROM r WHERE same GROUP BY doc_id, n, run)
-        SELECT doc_id, n, CAST(first AS INTEGER) AS first, CAST(repeats AS INTEGER) AS repeats, phrase FROM g WHERE repeats >= 5
+        WITH d AS (SELECT doc_id, list_transform({_WORDS.format(c='text')}, lambda w: {_BARE}) AS x FROM documents),
+        s AS (SELECT doc_id, x[i] AS s, i - 1 AS pos FROM (SELECT doc_id, x, unnest(range(1, len(x) + 1)) AS i FROM d)),
+        e AS (SELECT a.doc_id, b.pos - a.pos AS n, a.pos AS i FROM s a JOIN s b ON a.doc_id = b.doc_id AND a.s = b.s AND b.pos > a.pos),
+        g AS (SELECT doc_id, n, i, i - row_number() OVER (PARTITION BY doc_id, n ORDER BY i) AS run FROM e),
+        r AS (SELECT doc_id, n, min(i) AS first, count(*) + n AS size FROM g GROUP BY doc_id, n, run HAVING (count(*) + n) // n >= 5),
+        m AS (SELECT doc_id, min(n) AS n, first, size FROM r GROUP BY doc_id, first, size)
+        SELECT doc_id, CAST(n AS INTEGER) AS n, CAST(first AS INTEGER) AS first, CAST(size // n AS INTEGER) AS repeats, array_to_string(x[first + 1:first + n], ' ') AS phrase FROM m JOIN d USING (doc_id)
     """,
     "corrections": r"""
         WITH a AS (SELECT conv_id, turn, regexp_replace(text, '\bthe\b', 'THE', 'g') AS text FROM conversations)

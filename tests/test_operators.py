@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
 from quorumtext.operators import quality, speakers, turns
+from quorumtext.operators.corrections import corrected
 
 
 def one(spark, column, *values):
@@ -113,7 +114,7 @@ def test_reviewed_rollup_corrections(spark):
     assert sorted((r.video_id, r.a, r.b, r.n_findings) for r in quality.rollup(left, ["a", "b"]).collect()) == [("v", 0, 1, 1), ("w", 1, 0, 1)]
     t = spark.createDataFrame([("v", "Jon met Jonas, $1"), ("w", "Jon")], "video_id string, text string")
     c = spark.createDataFrame([(2, "John", "J$n", "v"), (1, "Jon", "John", None)], "ord int, wrong string, right string, scope string")
-    assert sorted(r.text for r in quality.corrected(t, c).collect()) == ["J$n met Jonas, $1", "John"]
+    assert sorted(r.text for r in corrected(t, c).collect()) == ["J$n met Jonas, $1", "John"]
 
 
 def test_coverage_captions_gates(spark):

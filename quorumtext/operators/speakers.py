@@ -5,29 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumtext.operators.sweep import active_at
 from quorumtext.operators.turns import coalesced
+from quorumtext.runtime import unused
 
 
 def point_in_interval(points: DataFrame, intervals: DataFrame, key: list[str], at: str, start: str, end: str, width: float, keep: list[str]) -> DataFrame:
-    """``points`` with the columns ``keep`` of the interval, start <= at < end, that holds them (left join).
+    """``points`` with the columns ``keep`` of the interval, start <= at < end, that holds them, null where none does.
 
-    Both sides meet by (key, level, bucket), an equality the shuffle can use, so no recording's
-    points meet all its intervals. Buckets of level k are ``width`` * 2**k wide; an interval has
-    the least level whose buckets are as long as itself, so it is in two at most, and a point
-    looks into one bucket of each level there is. Where several intervals hold a point, the
-    latest start wins, then the earliest end. Each place (key, at) is looked up once.
+    Where several intervals hold a point, the latest start wins, then the earliest end, then the
+    largest ``keep``.
     """
-    held = intervals.where(F.col(start) < F.col(end)).select(*key, F.col(start).alias("_s"), F.col(end).alias("_e"), *[F.col(c).alias(f"_k_{c}") for c in keep])
-    held = held.withColumn("_l", F.greatest(F.lit(0), F.ceil(F.log2((F.col("_e") - F.col("_s")) / F.lit(width)))).cast("int"))
-    bucket = lambda c: F.floor(F.col(c) / (F.lit(width) * F.pow(F.lit(2.0), F.col("_l")))).cast("long")
-    top = held.agg(F.max("_l")).first()[0] or 0
-    held = held.withColumn("_b", F.explode(F.sequence(bucket("_s"), bucket("_e"))))
-    places = points.select(*key, at).distinct().withColumn("_l", F.explode(F.sequence(F.lit(0), F.lit(top))))
-    hit = places.withColumn("_b", bucket(at)).join(held, [*key, "_l", "_b"])
-    inside = (F.col(at) >= F.col("_s")) & (F.col(at) < F.col("_e"))
-    best = F.max(F.struct(F.col("_s"), (-F.col("_e")).alias("_ne"), *[F.col(f"_k_{c}") for c in keep])).alias("_hit")
-    found = hit.where(inside).groupBy(*key, at).agg(best)
-    return points.join(found, [*key, at], "left").select(*points.columns, *[F.col(f"_hit._k_{c}").alias(c) for c in keep])
+    found = unused(points.columns, "_active")
+    rows = active_at(points, intervals, key, at, start, end, keep, width, found)
+    best = F.array_max(F.transform(found, lambda x: F.struct(x["start"].alias("s"), (-x["end"]).alias("e"), *[x[c].alias(c) for c in keep])))
+    return rows.withColumn(found, best).select(*points.columns, *[F.col(found)[c].alias(c) for c in keep])
+
+
+def crosstalk(words: DataFrame, segments: DataFrame, width: float = 60.0) -> DataFrame:
+    """``words`` with ``speakers``, all that a segment at the word's start names, sorted: several during crosstalk, none in silence."""
+    got = active_at(words, segments, ["video_id"], "t0", "t0", "t1", ["spk"], width, "speakers")
+    return got.withColumn("speakers", F.array_sort(F.array_distinct(F.filter(F.transform("speakers", lambda x: x["spk"]), lambda s: s.isNotNull()))))
 
 
 def assign_speakers(words: DataFrame, segments: DataFrame, width: float = 60.0, fallback: str | None = None) -> DataFrame:
@@ -81,24 +79,6 @@ def snap_to_sentences(words: DataFrame, reach: int = 2) -> DataFrame:
     return marked.withColumn("_label", label).withColumn("speaker", F.col("_label")).drop("_starts", "_change", "_before", "_to", "_label")
 
 
-def nearest_profile(voices: DataFrame, profiles: DataFrame, max_profiles: int = 10_000) -> DataFrame:
-    """(video_id, spk, speaker, similarity): each anonymous voice's nearest named profile by cosine.
-
-    ``profiles`` (speaker, embedding) is a query set that each voice needs whole: it travels
-    in blocks, about half of ``max_profiles`` rows in each, and a voice keeps its best of them all.
-    """
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    n = profiles.count()
-    blocks = -(-2 * n // max_profiles) if n > max_profiles else 1
-    block = F.pmod(F.xxhash64("speaker", "embedding"), F.lit(blocks))
-    out = voices.withColumn("_best", F.lit(None).cast("struct<similarity:double,speaker:string>"))
-    for k in range(blocks):
-        known = profiles.where(block == k).agg(F.collect_list(F.struct("speaker", F.col("embedding").alias("e"))).alias("_known"))
-        scored = F.transform("_known", lambda p: F.struct((dot(F.col("embedding"), p["e"]) / F.sqrt(dot(F.col("embedding"), F.col("embedding")) * dot(p["e"], p["e"]))).alias("similarity"), p["speaker"].alias("speaker")))
-        out = out.join(F.broadcast(known)).withColumn("_best", F.array_max(F.concat(scored, F.array("_best")))).drop("_known")
-    return out.select("video_id", "spk", F.col("_best.speaker").alias("speaker"), F.col("_best.similarity").alias("similarity"))
-
-
 def label_errors(words: DataFrame, gold: DataFrame) -> DataFrame:
     """Per recording: words whose speaker differs from the corrected copy, all words, and the rate."""
     g = gold.select("video_id", "pos", F.col("speaker").alias("_gold"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
-from quorumtext.operators import quality, speakers
+from quorumtext.operators import naming, quality, speakers
 from quorumtext.plans.text_queries import _NAMES, _SCALED, LEXICON, PHRASES
 from quorumtext.runtime import table
 from quorumtext.sources import archive, publish
@@ -36,7 +36,7 @@ def voice_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     known = e.groupBy("label").agg(F.min_by("embedding", "vec_id").alias("embedding")).select(F.concat(F.lit("p"), "label").alias("speaker"), "embedding")
     voices = e.select(F.col("vec_id").alias("video_id"), F.col("label").cast("string").alias("spk"), "embedding")
-    return speakers.nearest_profile(voices, known).select(F.col("video_id").alias("vec_id"), "speaker", F.round("similarity", 5).alias("similarity"))
+    return naming.nearest_profile(voices, known).select(F.col("video_id").alias("vec_id"), "speaker", F.round("similarity", 5).alias("similarity"))
 
 
 def sentence_snapping(spark: SparkSession, sf_dir: str) -> DataFrame:

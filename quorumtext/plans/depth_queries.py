@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quorumtext.operators import alignment, fuzzy, loops, quality, turns
+from quorumtext.operators import alignment, fuzzy, loops, naming, quality, speakers, turns
 from quorumtext.operators.corrections import corrected
 from quorumtext.plans.text_queries import _BARE, _WORDS
 from quorumtext.runtime import table
@@ -82,7 +82,29 @@ def aliases_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.with_aliases(said, names, "speaker").groupBy("speaker").agg(F.count(F.lit(1)).alias("n_turns"))
 
 
-QUERIES = {f.__name__: f for f in (alignment_distance, loops_inside_words, loop_removal, names_alike, correction_dictionary, aliases_resolved)}
+def crosstalk_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All kinds of a user's events that began up to ten times their value in seconds before each event."""
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("video_id"), "event_id", "event_type", "value", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("t0"))
+    said = e.select("video_id", "t0", (F.col("t0") + 600 * F.col("value")).alias("t1"), F.col("event_type").alias("spk"))
+    return speakers.crosstalk(e, said).select("event_id", F.array_join("speakers", ",").alias("speakers"))
+
+
+def voices_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of each user whose kind and hour go together in the best matching of kinds with six parts of the day."""
+    e = table(spark, sf_dir, "events")
+    over = e.select(F.col("user_id").alias("video_id"), F.col("event_type").alias("spk"), F.floor(F.hour("ts") / 4).cast("string").alias("speaker")).groupBy("video_id", "spk", "speaker").agg(F.count(F.lit(1)).alias("weight"))
+    return naming.matched_names(over).groupBy(F.col("video_id").alias("user_id")).agg(F.count(F.lit(1)).alias("n_voices"), F.sum("weight").cast("long").alias("n_events"))
+
+
+def profiles_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each embedding's nearest among those whose id is divisible by seven, named by their ids."""
+    e = table(spark, sf_dir, "embeddings")
+    known = e.where("vec_id % 7 = 0").select(F.lpad(F.col("vec_id").cast("string"), 9, "0").alias("speaker"), "embedding")
+    found = naming.nearest_profile(e.select(F.col("vec_id").alias("video_id"), F.col("label").cast("string").alias("spk"), "embedding"), known)
+    return found.select(F.col("video_id").alias("vec_id"), "speaker", F.round("similarity", 5).alias("similarity"))
+
+
+QUERIES = {f.__name__: f for f in (alignment_distance, loops_inside_words, loop_removal, names_alike, correction_dictionary, aliases_resolved, crosstalk_words, voices_named, profiles_pruned)}
 
 _CHARS = "regexp_extract_all(w, '.')"
 
@@ -150,6 +172,27 @@ ORACLE_SQL = {
         t AS (SELECT conv_id, turn, x[i] AS w, i FROM (SELECT conv_id, turn, x, unnest(range(1, len(x) + 1)) AS i FROM (SELECT conv_id, turn, regexp_extract_all(text, '(?s)\w+|\W+') AS x FROM conversations)))
         SELECT conv_id, turn, string_agg(CASE WHEN EXISTS (SELECT 1 FROM d WHERE d.w = t.w AND (d.scope IS NULL OR d.scope = t.conv_id)) THEN '<' || upper(w) || '>' ELSE w END, '' ORDER BY i) AS text FROM t GROUP BY conv_id, turn
     """,
+    "crosstalk_words": """
+        WITH e AS (SELECT user_id, event_id, event_type, value, CAST(floor(epoch(ts)) AS BIGINT) AS t FROM events)
+        SELECT p.event_id, coalesce(array_to_string(list_sort(list(DISTINCT s.event_type)), ','), '') AS speakers
+        FROM e p LEFT JOIN e s ON s.user_id = p.user_id AND p.t >= s.t AND p.t < s.t + 600 * s.value GROUP BY p.event_id
+    """,
+    "voices_named": """
+        WITH RECURSIVE c AS (SELECT user_id, event_type AS spk, hour(ts) // 4 AS part, count(*) AS n FROM events GROUP BY ALL),
+        v AS (SELECT user_id, spk, row_number() OVER (PARTITION BY user_id ORDER BY spk) AS k FROM (SELECT DISTINCT user_id, spk FROM c)),
+        m AS (SELECT user_id, 0 AS k, CAST([] AS BIGINT[]) AS taken, 0 AS total FROM v WHERE k = 1
+              UNION ALL
+              SELECT m.user_id, m.k + 1, CASE WHEN p.part IS NULL THEN m.taken ELSE list_append(m.taken, p.part) END, CAST(m.total + coalesce(c.n, 0) AS INTEGER)
+              FROM m JOIN v ON v.user_id = m.user_id AND v.k = m.k + 1 CROSS JOIN (SELECT unnest([0, 1, 2, 3, 4, 5, NULL]) AS part) p
+              LEFT JOIN c ON c.user_id = m.user_id AND c.spk = v.spk AND c.part = p.part
+              WHERE p.part IS NULL OR (NOT list_contains(m.taken, p.part) AND c.n > 0))
+        SELECT user_id, CAST(max(k) AS BIGINT) AS n_voices, CAST(arg_max(total, k * 1000000 + total) AS BIGINT) AS n_events FROM m GROUP BY user_id
+    """,
+    "profiles_pruned": """
+        WITH u AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n FROM embeddings),
+        s AS (SELECT a.vec_id, lpad(CAST(b.vec_id AS VARCHAR), 9, '0') AS speaker, list_inner_product(a.e, b.e) / (a.n * b.n) AS c FROM u a, u b WHERE b.vec_id % 7 = 0)
+        SELECT vec_id, arg_max(speaker, c) AS speaker, round(max(c), 5) AS similarity FROM s GROUP BY vec_id
+    """,
     "aliases_resolved": """
         SELECT CASE WHEN role = 'assistant' THEN 'speaker ' || conv_id % 10 ELSE role || ' ' || conv_id END AS speaker, count(*) AS n_turns FROM conversations GROUP BY ALL
     """,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quorumtext.functions import text as T
-from quorumtext.operators import quality, speakers, turns
+from quorumtext.operators import naming, quality, speakers, turns
 from quorumtext.operators.corrections import corrected
 
 
@@ -91,8 +91,8 @@ def test_camera_keeps_short_turns(spark):
 def test_profiles_and_errors(spark):
     voices = spark.createDataFrame([("v", "s0", [1.0, 0.1]), ("v", "s1", [0.0, 2.0])], "video_id string, spk string, embedding array<float>")
     known = spark.createDataFrame([("Ali", [3.0, 0.0]), ("Abu", [0.0, 1.0])], "speaker string, embedding array<float>")
-    assert sorted((r.spk, r.speaker) for r in speakers.nearest_profile(voices, known).collect()) == [("s0", "Ali"), ("s1", "Abu")]
-    assert sorted((r.spk, r.speaker) for r in speakers.nearest_profile(voices, known, max_profiles=1).collect()) == [("s0", "Ali"), ("s1", "Abu")]
+    assert sorted((r.spk, r.speaker) for r in naming.nearest_profile(voices, known).collect()) == [("s0", "Ali"), ("s1", "Abu")]
+    assert sorted((r.spk, r.speaker) for r in naming.nearest_profile(voices, known, max_profiles=1).collect()) == [("s0", "Ali"), ("s1", "Abu")]
     r = speakers.label_errors(words(spark, list("AB")), words(spark, list("AA"))).first()
     assert (r.n_wrong, r.n_words, r.rate) == (1, 2, 0.5)
 

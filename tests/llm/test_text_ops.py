@@ -64,9 +64,29 @@ def test_decontamination_is_the_same_for_any_block(spark):
     got = [sorted((str(r.doc_id), r.n_words, r.n_hit, str(r["items"]), str([tuple(x) for x in r.ranges])) for r in decontam.decontaminate(*frames, block_windows=b).collect()) for b in (200_000, 120)]
     assert got[0] == got[1]
     assert [g[:4] for g in got[0]] == sorted([("1", 4, 0, "[]"), ("1", 13, 11, "['2']"), ("None", 11, 11, "['2']"), ("None", 4, 4, "['2']"), ("None", 0, 0, "[]"), ("3", 300, 300, "['1']"), ("3", 300, 300, "['1']"), ("4", 0, 0, "[]")])
-    same = spark.createDataFrame([(i, "p q r") for i in range(40)], "item_id int, text string")
-    with pytest.raises(ValueError):
-        decontam.decontaminate(frames[0], same, block_windows=20)
+
+
+@pytest.mark.parametrize("block", [200_000, 1])
+def test_a_window_of_very_many_items(spark, block):
+    """One window in 300,000 items, beside one of its own in a few."""
+    n = 300_000 if block > 1 else 40
+    items = spark.range(n).select(F.col("id").alias("item_id"), F.when(F.col("id") < 3, F.concat(F.lit("x"), "id")).otherwise(F.lit("p q r")).alias("text"))
+    docs = spark.createDataFrame([(1, "a p q r"), (2, "X1 p q r b"), (3, "p q"), (4, "x0, x2")], "doc_id int, text string")
+    digest = lambda ids: hashlib.sha256(",".join(sorted(map(str, ids))).encode()).hexdigest()
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in decontam.decontaminate(docs, items, block_windows=block, with_items=False).collect()}
+    assert got == {1: (3, n - 3, digest(range(3, n))), 2: (4, n - 2, digest([1, *range(3, n)])), 3: (0, 0, digest([])), 4: (2, 2, digest([0, 2]))}
+    assert [r.doc_id for r in decontam.without_items(docs, items, block_windows=block).collect()] == [3]
+
+
+def test_joined_digest_of_sorted_strings(spark, monkeypatch):
+    from quorumtext.llm import digest
+
+    monkeypatch.setattr(digest, "PIECE", 10)
+    rows = [(k, f"é{i}" if i % 7 == 0 else str(i)) for k in ("a", "b") for i in range(200)] + [("c", "")]
+    got = {r.k: (r.n, r.sha256) for r in digest.joined_sha256(spark.createDataFrame(rows, "k string, x string"), "k", "x").collect()}
+    for k in ("a", "b", "c"):
+        own = sorted(x for j, x in rows if j == k)
+        assert got[k] == (len(own), hashlib.sha256(",".join(own).encode()).hexdigest())
 
 
 def test_decontamination_without_rows(spark):

@@ -7,6 +7,7 @@ import gc
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -81,6 +82,31 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Tables:
+    """Tables of one operation, written to the shared checkpoint folder; all go when it ends, also if it fails.
+
+    Unlike a checkpoint a table brings nothing of its plan along, which over many steps makes
+    each plan's analysis longer than the last; as columns it also takes fewer bytes.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path, self.n = spark, f"{shared_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def __enter__(self) -> Tables:
+        return self
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        """``rows``, computed once and read back."""
+        self.n += 1
+        path = f"{self.path}/{self.n}"
+        rows.write.parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def __exit__(self, *failure: object) -> None:
+        there = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        there.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps now.
 

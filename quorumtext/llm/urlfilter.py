@@ -4,11 +4,14 @@ Rules. A rule is a host and a path start; it fits its host and all subdomains. T
 fitting rule decides.
 
 Tree. Urls shrink to (host, typed path) keys with page and label counts first, summed
-before their shuffle, so a host with a third of all pages is a few thousand keys. Typing
+before their shuffle, so repeated urls are one row from here on. Typing
 replaces long runs of hexadecimal digits and dashes by ``<x>`` and other digit runs by
-``<n>``. Then, level by level from each host's root, a segment that is not just typed and
-whose parent has more than ``max_children`` such children becomes the wildcard ``*``; what
-lies deeper than ``max_depth`` is one wildcard ``**``.
+``<n>``. Then, level by level from each host's root, a segment that is not just typed is
+variable, and becomes the wildcard ``*``, if fewer than ``min_pages`` pages have it behind the same
+template, on its host or any other: too few to be judged by. A segment with more stays, however many
+siblings it has, so a section keeps its own labels whatever else a site adds, and shares them
+with sections of the same name elsewhere. Templates of one key, or with fewer than
+``min_pages`` pages, are finished at once, so levels go on only as deep as different paths share a start.
 
 Merging. Sibling templates (equal but for one literal, the first) are ordered by labelled
 purity and merged while neighbours' shares of blocked pages differ by less than ``z``
@@ -22,6 +25,9 @@ template is blocked if it has ``min_labels`` labelled pages on any hosts and its
 at least ``threshold``; otherwise it is allowed. Labels are the pages that the rules decide
 and those of ``labels``.
 
+Hot hosts. Every join meets an aggregate that lies in files, so a side that a third of all
+keys share can be split; the only ordered groups are a host's siblings with labels enough.
+
 Edge cases: a null url, or one without ``://``, has an empty host and path, no rule, and
 the template of the empty host; repeated pages count each, also as labels; extra columns
 are ignored; an empty table gives an empty result.
@@ -29,10 +35,12 @@ are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quorumtext.runtime import cut
+from quorumtext.runtime import Tables, cut
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -48,9 +56,8 @@ RULES = (
 # Fixed value: an identifier in hexadecimal.
 HEX = r"\b[0-9A-Fa-f][0-9A-Fa-f-]{14,}[0-9A-Fa-f]\b"
 
-MAX_CHILDREN = 16
-MAX_DEPTH = 8
 MIN_LABELS = 5
+MIN_PAGES = 5
 WEIGHT = 2.0
 THRESHOLD = 0.8
 Z = 2.0
@@ -77,51 +84,71 @@ def rule_for(host: Column, path: Column, rules: tuple[tuple[str, str], ...] = RU
 
 
 def typed_path(path: Column) -> Column:
-    """Segments of a path with identifiers typed, at most MAX_DEPTH of them and ``**`` for the rest."""
+    """All segments of a path, identifiers typed."""
     seg = F.split(F.regexp_replace(path, "^/", ""), "/")
-    seg = F.transform(seg, lambda s: F.regexp_replace(F.regexp_replace(s, HEX, "<x>"), r"[0-9]+", "<n>"))
-    return F.when(F.size(seg) > MAX_DEPTH, F.concat(F.slice(seg, 1, MAX_DEPTH), F.array(F.lit("**")))).otherwise(seg)
-
-
-def templates(keys: DataFrame, max_children: int = MAX_CHILDREN) -> DataFrame:
-    """``keys`` (host, seg array, ...) with ``template``: seg with variable literals as ``*``."""
-    done = keys.withColumn("template", F.array().cast("array<string>"))
-    literal = F.col("_s").isNotNull() & ~F.col("_s").isin("<n>", "<x>", "**", "")
-    deepest = keys.agg(F.max(F.size("seg"))).first()[0] or 0
-    for level in range(1, deepest + 1):
-        done = cut(done)  # each level reads the last one twice
-        here = done.withColumn("_s", F.try_element_at("seg", F.lit(level)))
-        wide = here.where(literal).groupBy("host", "template", "_s").agg(F.lit(1).alias("one")).groupBy("host", "template").agg(F.count("one").alias("_children")).where(F.col("_children") > max_children)
-        here = here.join(wide.hint("merge"), ["host", "template"], "left")
-        step = F.when(F.col("_children").isNotNull() & literal, F.lit("*")).otherwise(F.col("_s"))
-        done = here.withColumn("template", F.when(F.col("_s").isNull(), F.col("template")).otherwise(F.concat("template", F.array(step)))).drop("_s", "_children")
-    return done
-
-
-def judge(keys: DataFrame, min_labels: int = MIN_LABELS, weight: float = WEIGHT, threshold: float = THRESHOLD, z: float = Z) -> DataFrame:
+    return F.transform(seg, lambda s: F.regexp_replace(F.regexp_replace(s, HEX, "<x>"), r"[0-9]+", "<n>"))
+
+
+def _literal(s: Column) -> Column:
+    return ~s.isin("<n>", "<x>", "")
+
+
+def templates(keys: DataFrame, min_pages: int = MIN_PAGES, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
+    """``keys`` (host, seg array, pages, ...) with ``template``: seg with variable literals as ``*``."""
+    columns = [*keys.columns, "template"]
+    rest, finished, level = keep(keys.withColumn("template", F.array().cast("array<string>"))), [], 0
+    while True:
+        level += 1
+        here = rest.withColumn("_s", F.try_element_at("seg", F.lit(level)))
+        finished.append(here.where("_s IS NULL").select(columns))
+        here = here.where("_s IS NOT NULL")
+        child = keep(here.groupBy("template", "_s").agg(F.sum("pages").alias("_p"), F.count(F.lit(1)).alias("_n")))
+        if child.isEmpty():
+            break
+        step = F.when(_literal(F.col("_s")) & (F.col("_p") < min_pages), "*").otherwise(F.col("_s"))
+        child = child.withColumn("_step", step)
+        stars = keep(child.where("_step = '*'").groupBy("template").agg(F.sum("_p").alias("_sp"), F.sum("_n").alias("_sn")))
+        here = here.join(child.join(stars.hint("merge"), "template", "left").hint("merge"), ["template", "_s"])
+        star = F.col("_step") == "*"
+        pages, n = F.when(star, F.col("_sp")).otherwise(F.col("_p")), F.when(star, F.col("_sn")).otherwise(F.col("_n"))
+        here = here.withColumns({"template": F.concat("template", F.array("_step")), "_few": pages < min_pages, "_one": n == 1})
+        here = keep(here)
+        left = F.slice("seg", level + 1, F.greatest(F.size("seg") - level, F.lit(0)))
+        whole = F.concat("template", F.when(F.col("_few"), F.transform(left, lambda s: F.when(_literal(s), "*").otherwise(s))).otherwise(left))
+        finished.append(here.where("_few OR _one").withColumn("template", whole).select(columns))
+        rest = here.where("NOT (_few OR _one)").select(columns)
+    out = finished[0]
+    for more in finished[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def judge(keys: DataFrame, min_labels: int = MIN_LABELS, weight: float = WEIGHT, threshold: float = THRESHOLD, z: float = Z, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """``keys`` (host, seg, template, pages, labelled, blocked) with merged ``branch`` and ``verdict``."""
-    keys = cut(keys)
+    keys = keep(keys)
     leaf = keys.groupBy("host", "template").agg(F.sum("labelled").alias("n"), F.sum("blocked").alias("b"))
     is_literal = lambda s: ~s.contains("<") & ~s.contains("*") & (s != "")
     first = F.array_position(F.transform("template", is_literal), True)
     shape = F.when(first == 0, F.col("template")).otherwise(F.concat(F.slice("template", 1, F.greatest(first - 1, F.lit(0)).cast("int")), F.array(F.lit("?")), F.slice("template", (first + 1).cast("int"), F.size("template"))))
-    leaf = leaf.withColumns({"shape": shape, "p": F.when(F.col("n") >= min_labels, F.col("b") / F.col("n"))})
-    w = Window.partitionBy("host", "shape", F.col("p").isNull()).orderBy("p", "n", "template")
+    leaf = keep(leaf.withColumns({"shape": shape, "p": F.when(F.col("n") >= min_labels, F.col("b") / F.col("n"))}))
+    w = Window.partitionBy("host", "shape").orderBy("p", "n", "template")
     pooled = (F.lag("b").over(w) + F.col("b")) / (F.lag("n").over(w) + F.col("n"))
     error = F.sqrt(pooled * (1 - pooled) * (1 / F.lag("n").over(w) + 1 / F.col("n")))
-    apart = F.col("p").isNull() | F.lag("p").over(w).isNull() | (F.col("p") - F.lag("p").over(w) > z * error)
-    leaf = leaf.withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    leaf = cut(leaf.withColumn("bare", F.col("p").isNull()).drop("p", "apart"))
+    apart = F.lag("p").over(w).isNull() | (F.col("p") - F.lag("p").over(w) > z * error)
+    told = leaf.where("p IS NOT NULL").withColumn("apart", apart.cast("int")).withColumn("branch", F.sum("apart").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    told = keep(told.drop("apart"))
+    merged = keep(told.groupBy("host", "shape", "branch").agg(F.sum("n").alias("bn"), F.sum("b").alias("bb")))
+    out = told.join(merged.hint("merge"), ["host", "shape", "branch"])
+    bare = leaf.where("p IS NULL").withColumns({"branch": F.lit(None).cast("long"), "bn": F.col("n"), "bb": F.col("b")})
+    out = out.unionByName(bare)
     total = leaf.agg(F.sum("n").alias("n"), F.sum("b").alias("b")).first()
     smooth = lambda b, n, p: (F.col(b) + weight * p) / (F.col(n) + weight)
     parts = F.split("host", r"\.")
-    leaf = leaf.withColumns({"d2": F.array_join(F.slice(parts, -F.least(F.lit(2), F.size(parts)), 2), "."), "d1": F.element_at(parts, -1)})
-    group = ["host", "shape", "bare", "branch"]
-    merged = leaf.groupBy(*group).agg(F.sum("n").alias("bn"), F.sum("b").alias("bb"))
-    out = leaf.join(merged.hint("merge"), group)
+    ends = {"d2": F.array_join(F.slice(parts, -F.least(F.lit(2), F.size(parts)), 2), "."), "d1": F.element_at(parts, -1)}
+    out, leaf = out.withColumns(ends), leaf.withColumns(ends)
     for name, by in (("any", ["template"]), ("top", ["d1", "template"]), ("domain", ["d2", "template"])):
-        known = leaf.groupBy(*by).agg(F.sum("n").alias(f"{name}_n"), F.sum("b").alias(f"{name}_b"))
-        out = cut(out).join(known.hint("merge"), by)  # the rows lie in files, so a very common template can be split
+        known = keep(leaf.groupBy(*by).agg(F.sum("n").alias(f"{name}_n"), F.sum("b").alias(f"{name}_b")))
+        out = out.join(known.hint("merge"), by)  # the sums lie in files, so a very common template can be split
     p = F.lit(((total.b or 0) + 1) / ((total.n or 0) + 2))
     for name in ("any", "top", "domain"):
         p = smooth(f"{name}_b", f"{name}_n", p)
@@ -148,7 +175,8 @@ def filter_urls(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, pa
     if teaches is not None:
         label = F.when(teaches, label)
     keys = own.withColumn("label", label).groupBy("host", "seg").agg(F.count(F.lit(1)).alias("pages"), F.count("label").alias("labelled"), F.count_if(F.col("label") == "block").alias("blocked"))
-    tree = judge(templates(cut(keys))).select("host", "seg", "template", "purity", F.col("verdict").alias("learned"))
+    with Tables(pages.sparkSession, "urls") as keep:
+        tree = cut(judge(templates(keys, keep=keep), keep=keep).select("host", "seg", "template", "purity", F.col("verdict").alias("learned")))
     out = own.join(tree.hint("merge"), ["host", "seg"], "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("known", "learned").alias("verdict"), "learned", F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")
 
@@ -164,25 +192,18 @@ def _oracle() -> str:
     """The same in DuckDB: rules, typed paths, wildcards level by level, merged branches, back-off."""
     fit = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}')", v, r) for v, r in sorted(RULES, key=lambda x: -len(x[1])) for h, _, p in [r.partition("/")]]
     case = lambda k: "CASE " + " ".join(f"WHEN {c} THEN '{x[k]}'" for c, *x in fit) + " END"
-    literal = "s IS NOT NULL AND s NOT IN ('<n>', '<x>', '**', '')"
-    levels = ""
-    for k in range(1, MAX_DEPTH + 2):
-        levels += f"""
-    s{k} AS (SELECT *, seg[{k}] AS s FROM t{k - 1}),
-    w{k} AS (SELECT host, template FROM (SELECT DISTINCT host, template, s FROM s{k} WHERE {literal}) GROUP BY ALL HAVING count(*) > {MAX_CHILDREN}),
-    t{k} AS (SELECT host, seg, labelled, blocked, CASE WHEN s IS NULL THEN template WHEN w.host IS NOT NULL AND {literal} THEN list_append(template, '*') ELSE list_append(template, s) END AS template
-             FROM s{k} LEFT JOIN (SELECT host, template AS wt FROM w{k}) w ON w.host = s{k}.host AND w.wt = s{k}.template),"""
-    levels = levels.replace("SELECT host, seg, labelled", "SELECT s_.host, seg, labelled")
-    for k in range(1, MAX_DEPTH + 2):
-        levels = levels.replace(f"FROM s{k} LEFT JOIN", f"FROM s{k} s_ LEFT JOIN").replace(f"w.host = s{k}.host AND w.wt = s{k}.template", "w.host = s_.host AND w.wt = s_.template")
     return rf"""
-    WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+    WITH RECURSIVE u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
     o AS (SELECT *, {case(1)} AS rule, {case(0)} AS known,
           list_transform(string_split(regexp_replace(path, '^/', ''), '/'), lambda x: regexp_replace(regexp_replace(x, '{HEX}', '<x>', 'g'), '[0-9]+', '<n>', 'g')) AS g FROM u),
-    own AS (SELECT page_id, host, path, rule, known, CASE WHEN len(g) > {MAX_DEPTH} THEN list_append(g[1:{MAX_DEPTH}], '**') ELSE g END AS seg FROM o),
-    t0 AS (SELECT host, seg, count(known) AS labelled, count(*) FILTER (known = 'block') AS blocked, CAST([] AS VARCHAR[]) AS template FROM own GROUP BY host, seg),{levels}
-    leaf AS (SELECT host, template, sum(labelled) AS n, sum(blocked) AS b FROM t{MAX_DEPTH + 1} GROUP BY ALL),
+    own AS (SELECT page_id, host, path, rule, known, g AS seg FROM o),
+    t AS (SELECT host, seg, count(*) AS pages, count(known) AS labelled, count(*) FILTER (known = 'block') AS blocked, CAST([] AS VARCHAR[]) AS template, 0 AS k FROM own GROUP BY host, seg
+          UNION ALL
+          SELECT host, seg, pages, labelled, blocked, list_append(template, CASE WHEN s NOT IN ('<n>', '<x>', '') AND sum(pages) OVER (PARTITION BY template, s) < {MIN_PAGES} THEN '*' ELSE s END), k + 1
+          FROM (SELECT *, seg[k + 1] AS s FROM t WHERE k < len(seg))),
+    done AS (SELECT * FROM t WHERE k = len(seg)),
+    leaf AS (SELECT host, template, sum(labelled) AS n, sum(blocked) AS b FROM done GROUP BY ALL),
     f AS (SELECT *, coalesce(list_position(list_transform(template, lambda x: NOT contains(x, '<') AND NOT contains(x, '*') AND x <> ''), true), 0) AS i,
           CASE WHEN n >= {MIN_LABELS} THEN b / n END AS p FROM leaf),
     h AS (SELECT *, CASE WHEN i = 0 THEN template ELSE template[1:i - 1] || ['?'] || template[i + 1:] END AS shape FROM f),
@@ -195,7 +216,7 @@ def _oracle() -> str:
           sum(n) OVER (PARTITION BY template) AS an, sum(b) OVER (PARTITION BY template) AS ab, sum(n) OVER (PARTITION BY d1, template) AS tn, sum(b) OVER (PARTITION BY d1, template) AS tb,
           sum(n) OVER (PARTITION BY d2, template) AS dn, sum(b) OVER (PARTITION BY d2, template) AS db, (sum(b) OVER () + 1) / (sum(n) OVER () + 2) AS prior FROM c),
     z AS (SELECT host, template, CASE WHEN an >= {MIN_LABELS} AND (bb + {WEIGHT} * (db + {WEIGHT} * (tb + {WEIGHT} * (ab + {WEIGHT} * prior) / (an + {WEIGHT})) / (tn + {WEIGHT})) / (dn + {WEIGHT})) / (bn + {WEIGHT}) >= {THRESHOLD} THEN 'block' ELSE 'allow' END AS learned FROM y),
-    k AS (SELECT t.host, t.seg, z.learned FROM t{MAX_DEPTH + 1} t JOIN z ON t.host = z.host AND t.template = z.template)
+    k AS (SELECT t.host, t.seg, z.learned FROM done t JOIN z ON t.host = z.host AND t.template = z.template)
     SELECT own.page_id, own.host, own.path, own.rule, coalesce(own.known, k.learned) AS verdict FROM own JOIN k ON own.host = k.host AND own.seg = k.seg
 """
 

@@ -200,3 +200,28 @@ def test_queries_equal_their_sql(spark, name, module):
     rel = con.execute(module.ORACLE)
     at = [[x[0] for x in rel.description].index(c) for c in df.columns]
     assert sorted(map(str, ([r[i] for i in at] for r in rel.fetchall()))) == sorted(str(list(r)) for r in df.collect())
+
+
+@pytest.mark.parametrize("siblings", [5, 15, 20, 2000])
+def test_a_bad_section_is_blocked_beside_any_number_of_others(spark, siblings):
+    """A section's verdict rests on its own labels; what else the site has changes nothing."""
+    from quorumtext.llm import urlfilter
+
+    names = spark.range(siblings).select(F.concat(F.lit("s"), F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")).alias("s"), F.col("id").alias("n"))
+    pages = names.select("s", "n", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("i"))
+    pages = pages.select((F.col("n") * 100 + F.col("i")).alias("page_id"), F.concat(F.lit("http://site.org/"), "s", F.lit("/"), "i").alias("url"), (F.col("n") == 3).cast("int").alias("bad"))
+    got = urlfilter.filter_urls(pages.select("page_id", "url"), labels=pages.select("page_id", "bad"))
+    bad = got.join(pages.select("page_id", "bad"), "page_id").groupBy("bad", "verdict").count().collect()
+    assert {(r.bad, r.verdict): r["count"] for r in bad} == {(1, "block"): 40, (0, "allow"): 40 * (siblings - 1)}
+
+
+def test_deep_and_long_paths_are_read_to_their_ends(spark):
+    from quorumtext.llm import urlfilter
+
+    deep = "/".join(f"d{chr(97 + i % 26)}" for i in range(12))
+    rows = [(i, f"http://a.org/{deep}/{'bad' if i % 2 else 'good'}/{i}") for i in range(40)] + [(90, "http://b.org/" + "x/" * 1000), (91, "http://c.org/" + "y" * 300_000)] + [(92 + i, "http://d.org/" + "z/" * 500 + "e") for i in range(6)]
+    pages = spark.createDataFrame(rows, "page_id int, url string")
+    got = {r.page_id: r for r in urlfilter.filter_urls(pages, labels=pages.where("page_id < 40").select("page_id", (F.col("page_id") % 2).alias("bad"))).collect()}
+    assert len(got) == 48
+    assert {got[i].verdict for i in range(1, 40, 2)} == {"block"} and {got[i].verdict for i in range(0, 40, 2)} == {"allow"}
+    assert got[1].template == f"/{deep}/bad/<n>" and got[90].template == "/" + "*/" * 1000 and got[91].template == "/*" and got[92].template == "/" + "z/" * 500 + "e"

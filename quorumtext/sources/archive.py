@@ -11,7 +11,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quorumtext.functions.text import clock_seconds, n_words
@@ -153,10 +153,20 @@ def orphans(files: DataFrame) -> DataFrame:
 
 
 def index_rows(text: DataFrame, locale: str) -> DataFrame:
-    """Rows of a Markdown index (column ``text``): cells split at bars that are not escaped."""
-    lines = text.select(F.posexplode(F.split("text", "\n", -1)).alias("line", "value")).withColumn("line", F.col("line") + 1)
-    w = Window.orderBy("line").rowsBetween(Window.unboundedPreceding, 0)  # one index is one small file
-    heads = lines.withColumn("section", F.last(F.when(F.col("value").rlike("^#+ "), F.regexp_replace("value", "^#+ ", "")), True).over(w))
+    """Rows of Markdown indexes (column ``text``, one file a row): cells split at bars that are not escaped.
+
+    Sections are carried down inside each file's own lines, so files never mix.
+    """
+    head = lambda v: v.rlike("^#+ ")
+    start = F.struct(F.lit(0).alias("line"), F.lit(None).cast("string").alias("section"), F.array().cast("array<struct<line:int,section:string,value:string>>").alias("rows"))
+
+    def grow(s: Column, v: Column) -> Column:
+        section = F.when(head(v), F.regexp_replace(v, "^#+ ", "")).otherwise(s["section"])
+        row = F.struct((s["line"] + 1).alias("line"), section.alias("section"), v.alias("value"))
+        listed = v.rlike(r"^\| *\d+ *\|")
+        return F.struct((s["line"] + 1).alias("line"), section.alias("section"), F.when(listed, F.concat(s["rows"], F.array(row))).otherwise(s["rows"]).alias("rows"))
+
+    heads = text.select(F.explode(F.aggregate(F.split(F.coalesce("text", F.lit("")), "\n", -1), start, grow, lambda s: s["rows"])).alias("_r")).select("_r.*")
     cell = F.transform(F.split(F.regexp_replace("value", r"^\|\s*|\s*\|\s*$", ""), r"(?<!\\)\|"), lambda c: F.replace(F.trim(c), F.lit("\\|"), F.lit("|")))
     rows = heads.where(F.col("value").rlike(r"^\| *\d+ *\|")).withColumn("_c", cell)
     at = lambda i: F.try_element_at("_c", F.lit(i))

@@ -98,6 +98,14 @@ def test_index_round_trip(spark, files):
     assert sorted((r.video_id[0], r.layer, r.state) for r in found.collect()) == [("a", "interview-ms", "dangling"), ("a", "raw", "unlisted"), ("b", "interview-ms", "dangling"), ("b", "raw", "unlisted")]
 
 
+def test_two_indexes_keep_their_sections(spark):
+    """Rows of two files that stand on the same lines come back with their own file's section."""
+    page = lambda name, vid: f"# T\n\n## {name}\n\n| Ep | Date |\n|---|---|\n| 01 | 2024-01-08 | [x](https://www.youtube.com/watch?v={vid}) | 1h | A | B | [Raw](r.md) |"
+    pages = spark.createDataFrame([(page("A", "a" * 11),), (page("B", "b" * 11),), (None,), ("",)], "text string").coalesce(1)
+    got = sorted((r.video_id, r.section, r.line) for r in archive.index_rows(pages, "en").collect())
+    assert got == [("a" * 11, "A", 7), ("b" * 11, "B", 7)]
+
+
 def test_pages_and_splice(files, tmp_path):
     e, la = archive.episodes(files), archive.layers(files)
     nav = {(r.video_id[0], r.layer): r.nav for r in publish.nav_blocks(e, la).collect()}
@@ -154,7 +162,67 @@ def test_command_lines(spark, files, corpus, tmp_path):
     out = tmp_path / "report.md"
     tools.check(spark, str(corpus), str(out))
     lines = out.read_text(encoding="utf-8").splitlines()
-    assert lines[0] == "| video_id | repeat | order | figure | model_note | orphan | n_findings |"
-    assert lines[2:] == ["| aaaaaaaaaaa | 0 | 0 | 0 | 0 | 1 | 1 |"]  # the stray remark; "[Pause]" is a speaker
+    assert lines[0].startswith("1 of 2 recordings carry a finding.")
+    names = [c.strip() for c in lines[2].strip("|").split("|")]
+    rows = {r[0]: dict(zip(names, r)) for r in ([c.strip() for c in x.strip("|").split("|")] for x in lines[4:])}
+    assert names == ["video_id", *tools.CHECKS, "n_findings", "n_remove"]
+    assert {k: v for k, v in rows["aaaaaaaaaaa"].items() if v != "0"} == {"video_id": "aaaaaaaaaaa", "speaker": "1", "orphan": "1", "n_findings": "2"}
+    assert set(rows["bbbbbbbbbbb"].values()) == {"bbbbbbbbbbb", "0"}  # a clean recording has its row
     with pytest.raises(SystemExit):
         tools.main([])
+
+
+def test_every_check_finds_what_is_planted(spark, tmp_path):
+    """One fault of each kind in a recording of its own; a reviewed one is left out; a clean one has a row."""
+    from quorumtext import tools
+
+    words = " ".join(f"kata{i}" for i in range(60))
+    raws = {
+        "order": f"[00:09] Ali: {words}\n\n[00:02] Abu: ya\n", "repeat": f"[00:01] Ali: {words}" + " sari kata" * 12 + "\n\n[00:03] Abu: ya\n",
+        "credit": f"[00:01] Ali: {words} subtitles by www.x.org\n", "missing": "[00:01] Ali: " + " ".join(f"kata{i}" for i in range(20)) + "\n\n[00:50] Abu: " + " ".join(f"kata{i}" for i in range(50, 60)) + "\n",
+    }
+    told = {"figure": words + " RM5 juta", "name": words + " Fahmi Fadzil", "word": words + " bangsat", "length": "kata1", "speaker": words, "model_note": words + " [translator's note: unclear]", "reviewed": words + " 99 bilion", "orphan": words}
+    for k in [*raws, *told, "clean"]:
+        vid = k.ljust(11, "_")
+        a = dict(title=k, vid=vid, sec=60, dur="0h 1m", views=1, more="note: n\nmodel: m\n")
+        d = f"2024-01-08-ep01-{k.replace('_', '-')}"
+        write(tmp_path / "a", "show", d, "raw", HEAD.format(**a) + "# Raw Transcript\n\n" + raws.get(k, f"[00:01] Ali: {words}\n"))
+        if k not in raws:
+            who = "Abu" if k == "speaker" else "Ali"
+            write(tmp_path / "a", "show", d, "interview", HEAD.format(**a) + "# Interview\n\n" + ("lone line\n\n" if k == "orphan" else "") + f"**{who}:** {told.get(k, words)}\n")
+    (tmp_path / "lexicon").write_text("bangsat\ncelaka\n\n", encoding="utf-8")
+    (tmp_path / "reviewed").write_text(json.dumps({"video_id": "reviewed___", "check": "figure", "evidence": "99000000000", "reason": "said so"}) + "\n", encoding="utf-8")
+    (tmp_path / "captions").write_text("".join(json.dumps({"video_id": f"{v:_<11}", "t0": float(i), "text": " ".join(f"kata{j}" for j in range(10 * i, 10 * i + 10))}) + "\n" for v in ("missing", "clean") for i in range(6)), encoding="utf-8")
+    given = [f"{k}={tmp_path / k}" for k in ("lexicon", "reviewed", "captions")]
+    out = tmp_path / "report.md"
+
+    def rows():
+        lines = out.read_text(encoding="utf-8").splitlines()
+        cells = [[c.strip() for c in x.strip("|").split("|")] for x in lines[2:]]
+        return {r[0].rstrip("_"): {k: int(v) for k, v in zip(cells[0][1:], r[1:]) if v != "0"} for r in cells[2:]}
+
+    tools.check(spark, str(tmp_path / "a"), str(out), *given)
+    got = rows()
+    assert got["clean"] == got["reviewed"] == {}
+    for k in [*raws, *told]:
+        if k != "reviewed":
+            assert got[k].get(k) == 1 and got[k]["n_findings"] == 1, (k, got[k])
+    assert got["repeat"]["n_remove"] == 1
+    with pytest.raises(SystemExit):
+        tools.check(spark, str(tmp_path / "a"), str(out), "other=x")
+
+    state = str(tmp_path / "state")
+    assert len(tools.recheck(spark, str(tmp_path / "a"), str(out), state, *given)) == 13
+    assert rows() == got and tools.recheck(spark, str(tmp_path / "a"), str(out), state, *given) == []
+    note = next((tmp_path / "a").rglob("*model-note/interview.md"))
+    note.write_text(note.read_text(encoding="utf-8").replace(" [translator's note: unclear]", " 8.2 bilion"), encoding="utf-8")
+    assert [x.rsplit("-", 2)[-1] for x in tools.recheck(spark, str(tmp_path / "a"), str(out), state, *given)] == ["note"]
+    again = rows()
+    assert again.pop("model_note") == {"figure": 1, "n_findings": 1} and again == {k: v for k, v in got.items() if k != "model_note"}
+    tools.check(spark, str(tmp_path / "a"), str(tmp_path / "full.md"), *given)
+    assert (tmp_path / "full.md").read_text(encoding="utf-8") == out.read_text(encoding="utf-8")
+    note.write_text("---\n---\n", encoding="utf-8")  # its raw layer is left
+    assert len(tools.recheck(spark, str(tmp_path / "a"), str(out), state, *given)) == 1 and rows()["model_note"] == {}
+    (tmp_path / "reviewed").write_text("", encoding="utf-8")
+    (tmp_path / "lexicon").write_text("celaka\n", encoding="utf-8")
+    assert len(tools.recheck(spark, str(tmp_path / "a"), str(out), state, given[0], given[2])) == 13 and rows()["reviewed"] == {"figure": 1, "n_findings": 1} and rows()["word"] == {}

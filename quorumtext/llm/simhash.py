@@ -199,7 +199,7 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_
 def _met(rows: DataFrame) -> DataFrame:
     """Rows (node, fp, mask) with the key's value and its members, where there are two at least."""
     rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
-    size = rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    size = cut(rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))  # so a hot shard can be split
     return rows.join(size.hint("merge"), ["mask", "value"])
 
 
@@ -323,9 +323,10 @@ def _set_prints_of(docs: DataFrame) -> DataFrame:
 def _candidates(nodes: DataFrame) -> DataFrame:
     """(u, v, shared): nodes and the leaders of the groups that hold them, with the number of such groups."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn")).repartition("key")
+    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn"))
     who = F.struct("turn", "node")
     groups = rows.groupBy("key").agg(F.min(who).alias("first"), F.max(who).alias("last")).where("first.node <> last.node").select("key", F.col("first.node").alias("v"))
+    groups = cut(groups)  # so a fingerprint that very many nodes share can be split
     met = rows.join(groups.hint("merge"), "key").where("node <> v")
     return met.groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("shared"))
 

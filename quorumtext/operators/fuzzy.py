@@ -1,15 +1,19 @@
 """Strings within a number of edits of each other, by a positional index of q-grams.
 
 A string of n characters, padded on both sides, has n + q - 1 q-grams. ``edits`` edits destroy at
-most ``edits * q`` of them and shift the rest by ``edits`` places at most. So two strings that
-near share one of the ``edits * q + 1`` rarest q-grams of each (prefix filter), at like
-places (position filter), have like lengths (length filter), and share at least
-max(n) + q - 1 - edits * q q-grams (count filter). What passes is verified by the edit distance.
-
-Each string is emitted ``edits * q + 1`` times, whatever the others are, so the shuffle is linear;
-q-grams that many strings have are in few prefixes, as each string's q-grams are ordered
-from rare to common over both sides. A string so short that all its q-grams can be destroyed
-is emitted with an empty q-gram besides, as is every string short enough to be near it.
+most ``edits * q`` of them and shift the rest by ``edits`` places at most, in order. Each string's
+q-grams are ordered from rare to common over both sides, equal ones by place. Then the i-th of
+those that survive is among the first ``edits * q + i`` of either string. So two strings that near
+
+* share ``SHARED`` of the first ``edits * q + SHARED`` q-grams of each, or as many as survive at
+  least, max(n) + q - 1 - edits * q, where that is fewer (prefix and count filter),
+* at places at most ``edits`` apart (position filter), and
+* have lengths at most ``edits`` apart (length filter).
+
+What passes is verified by the edit distance. Each string is emitted ``edits * q + SHARED`` times
+at most, whatever the others are, so the shuffle is linear; q-grams that many strings have are in
+few prefixes. A string so short that all its q-grams can be destroyed is emitted with an
+empty q-gram besides, as is every string short enough to be near it.
 """
 
 from __future__ import annotations
@@ -20,7 +24,8 @@ from pyspark.sql import functions as F
 from quorumtext.operators.quality import small
 from quorumtext.runtime import cut
 
-Q = 2
+Q = 3
+SHARED = 2
 
 
 def qgrams(text: Column, q: int = Q) -> Column:
@@ -36,7 +41,7 @@ def _index(rows: DataFrame, key: list[str], edits: int, q: int, ranks: DataFrame
     per = own.join(ranks, "gram").groupBy(*key, "s", "n").agg(F.array_sort(F.collect_list(F.struct("often", "gram", "at"))).alias("all"))
     few = edits * q - q + 1  # of so many characters, all q-grams can be destroyed
     short = F.when(F.col("n") <= few + edits, F.array(F.struct(F.lit(0).cast("long").alias("often"), F.lit("").alias("gram"), F.lit(0).alias("at")))).otherwise(F.slice("all", 1, 0))
-    return per.select(*key, "s", "n", F.explode(F.concat(F.slice("all", 1, edits * q + 1), short)).alias("x")).select(*key, "s", "n", "x.gram", "x.at")
+    return per.select(*key, "s", "n", F.explode(F.concat(F.slice("all", 1, edits * q + SHARED), short)).alias("x")).select(*key, "s", "n", "x.gram", "x.at")
 
 
 def within_edits(a: DataFrame, b: DataFrame, key: list[str], edits: int = 2, q: int = Q) -> DataFrame:
@@ -51,7 +56,7 @@ def within_edits(a: DataFrame, b: DataFrame, key: list[str], edits: int = 2, q:
     ours = _index(a, key, edits, q, ranks)
     theirs = _index(b, key, edits, q, ranks).select(*key, F.col("s").alias("t"), F.col("n").alias("m"), "gram", F.col("at").alias("at_t"))
     met = ours.join(theirs, [*key, "gram"]).where((F.abs(F.col("n") - F.col("m")) <= edits) & (F.abs(F.col("at") - F.col("at_t")) <= edits))
-    pairs = met.select(*key, "s", "t", F.greatest("n", "m").alias("most")).distinct()
-    shared = F.size(F.filter(qgrams(F.col("s"), q), lambda g: F.array_contains(qgrams(F.col("t"), q), g)))
-    near = pairs.where(shared >= F.col("most") + q - 1 - edits * q).withColumn("distance", F.levenshtein("s", "t", edits))
+    survive = F.greatest("n", "m") + q - 1 - edits * q
+    pairs = met.groupBy(*key, "s", "t", F.least(F.lit(SHARED), F.greatest(F.lit(1), survive)).alias("least")).agg(F.count(F.lit(1)).alias("shared"))
+    near = pairs.where(F.col("shared") >= F.col("least")).withColumn("distance", F.levenshtein("s", "t", edits))
     return near.where("distance >= 0").select(*key, "s", "t", "distance")

@@ -6,6 +6,8 @@ that have no published value are parameters with neutral defaults.
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,18 +123,46 @@ def model_notes(turns: DataFrame, orphans: DataFrame) -> DataFrame:
 
 def language_density(text: str | Column, lexicon: list[str]) -> Column:
     """Share of a text's words that are in a lexicon; null without words."""
-    own = F.transform(F.array(bare_words_in_order(text)), lambda w: _density(w, lexicon))
-    return F.element_at(own, 1)
+    return F.element_at(F.array(_listed(text, lexicon) / F.nullif(n_words(text), F.lit(0))), 1)
 
 
 def language_densities(text: str | Column, lexicons: dict[str, list[str]]) -> Column:
-    """A struct with the share of each lexicon; the text's words are taken once."""
-    own = F.transform(F.array(bare_words_in_order(text)), lambda w: F.struct(*[_density(w, v).alias(k) for k, v in lexicons.items()]))
-    return F.element_at(own, 1)
+    """A struct with the share of each lexicon, for short ones; a table of words is what ``lexicon_densities`` takes."""
+    return F.struct(*[language_density(text, v).alias(k) for k, v in lexicons.items()])
+
+
+def _listed(text: str | Column, lexicon: list[str]) -> Column:
+    """Number of words that are listed, case and punctuation around them aside: one pattern over the whole text."""
+    c = F.col(text) if isinstance(text, str) else text
+    known = sorted({x.lower() for x in lexicon if x and not set(x) & set(" \t\n\r\f\x0b") and x == x.strip(string.punctuation)})
+    if not known:
+        return F.lit(0)
+    said = "|".join(rf"\Q{x}\E" for x in known)
+    return F.coalesce(F.regexp_count(F.lower(c), F.lit(rf"(?<![^ \t\n\r\f\x0B])\p{{Punct}}*+(?:{said})\p{{Punct}}*+(?![^ \t\n\r\f\x0B])")), F.lit(0))
+
+
+def lexicon_densities(texts: DataFrame, key: list[str], lexicon: DataFrame, text: str = "text") -> DataFrame:
+    """(key, lang, n_listed, n_words, density) for each key with words and each language of a lexicon (word, lang) of any size.
+
+    Words are counted by key first, before any shuffle; the lexicon is broadcast if its rows are few, else joined.
+    """
+    tokens = texts.select(*key, F.explode(bare_words_in_order(text)).alias("word")).groupBy(*key, "word").agg(F.count(F.lit(1)).alias("_n"))
+    total = tokens.groupBy(*key).agg(F.sum("_n").alias("n_words"))
+    listed = lexicon.select(F.lower("word").alias("word"), "lang").na.drop().distinct()
+    hits = tokens.join(small(listed), "word").groupBy(*key, "lang").agg(F.sum("_n").alias("n_listed"))
+    out = total.join(F.broadcast(listed.select("lang").distinct())).join(hits, [*key, "lang"], "left")
+    return out.select(*key, "lang", F.coalesce("n_listed", F.lit(0)).alias("n_listed"), "n_words", (F.coalesce("n_listed", F.lit(0)) / F.col("n_words")).alias("density"))
+
+
+def longest_run(items: Column) -> Column:
+    """The most times that one item stands back to back in an array; 0 in an empty one."""
+    start = F.struct(F.lit(None).cast("string").alias("item"), F.lit(0).alias("run"), F.lit(0).alias("best"))
 
+    def step(s: Column, x: Column) -> Column:
+        run = F.when(s["item"].eqNullSafe(x) & (s["run"] > 0), s["run"] + 1).otherwise(1)
+        return F.struct(x.alias("item"), run.alias("run"), F.greatest(s["best"], run).alias("best"))
 
-def _density(own: Column, lexicon: list[str]) -> Column:
-    return F.size(F.filter(own, lambda w: w.isin([x.lower() for x in lexicon]))) / F.nullif(F.size(own), F.lit(0))
+    return F.aggregate(items, start, step, lambda s: s["best"])
 
 
 def coverage(turns: DataFrame, captions: DataFrame, bucket: int = 60) -> DataFrame:

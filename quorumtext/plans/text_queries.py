@@ -56,15 +56,11 @@ def credit_line_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def findings_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings of several checks on documents, those reviewed as harmless left out, by document."""
-    d = table(spark, sf_dir, "documents")
-    base = d.select(F.col("doc_id").alias("video_id"), F.lit("raw").alias("layer"), F.lit(1).alias("seq"), "text")
-    runs = repeat_runs(spark, sf_dir).where("repeats >= 10").select("doc_id").distinct().select(F.col("doc_id").alias("video_id"), F.lit("raw").alias("layer"), F.lit(1).alias("seq"), F.lit("run").alias("e"))
-    credit = base.where(F.lower("text").rlike("|".join(PHRASES)))
-    figure = base.where(F.col("text").rlike("[0-9]{5,}"))
-    few = base.where(T.n_words("text") < 20)
-    found = runs.select(*quality.finding("repeat", "flag", "e"))
-    for check, rows in (("credit", credit), ("figure", figure), ("empty", few)):
-        found = found.unionByName(rows.select(*quality.finding(check, "flag", F.lit(check))))
+    text = F.col("text")
+    tests = {"repeat": quality.longest_run(T.words("text")) >= 10, "credit": F.lower(text).rlike("|".join(PHRASES)), "figure": text.rlike("[0-9]{5,}"), "empty": T.n_words("text") < 20}
+    failed = F.array_compact(F.array(*[F.when(tests[c], F.lit(c)) for c in CHECKS]))
+    base = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("video_id"), F.lit("raw").alias("layer"), F.lit(1).alias("seq"), F.explode(failed).alias("check"))
+    found = base.select("video_id", "layer", "seq", "check", F.lit("flag").alias("severity"), F.col("check").alias("evidence"))
     reviewed = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("video_id"), F.lit("credit").alias("check"), F.lit("credit").alias("evidence"))
     return quality.rollup(quality.without_reviewed(found, reviewed), list(CHECKS)).withColumnRenamed("video_id", "doc_id")
 
@@ -76,6 +72,13 @@ def lang_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares.select("doc_id", "lang", *[F.round(f"x.{k}", 6).alias(f"d_{k}") for k in LANGUAGES])
 
 
+def lexicon_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of each conversation's words that benchmark items have, those of even and of odd items apart."""
+    b = table(spark, sf_dir, "benchmark")
+    words = b.select(F.explode(quality.bare_words("text")).alias("word"), F.when(F.col("item_id") % 2 == 0, "even").otherwise("odd").alias("lang"))
+    return quality.lexicon_densities(table(spark, sf_dir, "conversations"), ["conv_id"], words).select("conv_id", "lang", "n_listed", "n_words", F.round("density", 6).alias("density"))
+
+
 def index_newest_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders of each day and priority, keys newest first, as an index lists them."""
     o = table(spark, sf_dir, "orders")
@@ -133,7 +136,7 @@ def names_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.names_absent(t.where("role = 'assistant'"), t.where("role = 'user'"), ["conv_id"])
 
 
-QUERIES = {f.__name__: f for f in (figures_absent, lexicon_leak, repeat_runs, repeat_decision, credit_line_flag, findings_rollup, lang_density, index_newest_first, source_totals, slugs, admission, filler_removal, coverage_gaps, ngram_loops, corrections, names_absent)}
+QUERIES = {f.__name__: f for f in (figures_absent, lexicon_leak, repeat_runs, repeat_decision, credit_line_flag, findings_rollup, lang_density, lexicon_density, index_newest_first, source_totals, slugs, admission, filler_removal, coverage_gaps, ngram_loops, corrections, names_absent)}
 
 _WORDS = r"regexp_extract_all(coalesce({c}, ''), '[^ \t\n\r\f\v]+')"
 _STRIP = r"regexp_replace(regexp_replace({w}, '^[!-/:-@\[-`{{-~]+', ''), '[!-/:-@\[-`{{-~]+$', '')"
@@ -180,6 +183,13 @@ ORACLE_SQL = {
         WITH w AS (SELECT doc_id, lang, list_transform({_WORDS.format(c='text')}, lambda w: {_BARE}) AS w FROM documents)
         SELECT doc_id, lang, {", ".join(f"round(len(list_filter(w, lambda x: x IN ({', '.join(repr(x) for x in v)}))) / nullif(len(w), 0), 6) AS d_{k}" for k, v in LANGUAGES.items())} FROM w
     """,
+    "lexicon_density": f"""
+        WITH l AS (SELECT DISTINCT {_BARE} AS word, CASE WHEN item_id % 2 = 0 THEN 'even' ELSE 'odd' END AS lang FROM (SELECT item_id, unnest({_WORDS.format(c='text')}) AS w FROM benchmark)),
+        t AS (SELECT conv_id, word FROM {_TOKENS}),
+        h AS (SELECT conv_id, lang, count(*) AS n FROM t JOIN l USING (word) GROUP BY ALL)
+        SELECT c.conv_id, x.lang, coalesce(h.n, 0) AS n_listed, c.n AS n_words, round(coalesce(h.n, 0) / c.n, 6) AS density
+        FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id) c CROSS JOIN (SELECT DISTINCT lang FROM l) x LEFT JOIN h ON h.conv_id = c.conv_id AND h.lang = x.lang
+    """,
     "index_newest_first": """
         SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderpriority, count(*) AS n, string_agg(CAST(o_orderkey AS VARCHAR), ', ' ORDER BY o_orderdate DESC, o_orderkey DESC) AS keys
         FROM orders GROUP BY ALL

@@ -214,3 +214,20 @@ def test_a_hundred_thousand_corrections_are_one_pass(spark):
 
 def test_an_earlier_entry_that_appears_later_is_not_applied():
     assert Dictionary([("x", "y", None), ("z", "x", None)]).apply("x z", None) == "y x"
+
+
+def test_densities_of_patterns_and_of_a_table(spark):
+    texts = [(1, "The, the (THE) then of-the of. the\tof"), (2, ""), (3, None), (4, "... the"), (5, "é the\nthe")]
+    df = spark.createDataFrame(texts, "k int, text string")
+    share = lambda ws: {r.k: r.d for r in df.select("k", quality.language_density("text", ws).alias("d")).collect()}
+    assert share(["The", "of"]) == {1: 6 / 8, 2: None, 3: None, 4: 0.5, 5: 2 / 3}
+    assert share(["...", "a b", ""]) == {1: 0.0, 2: None, 3: None, 4: 0.0, 5: 0.0}
+    words = spark.createDataFrame([("THE", "en"), ("of", "en"), ("é", "fr"), (None, "xx"), ("the", None)], "word string, lang string")
+    got = {(r.k, r.lang): (r.n_listed, r.n_words) for r in quality.lexicon_densities(df, ["k"], words).collect()}
+    assert got == {(1, "en"): (6, 8), (1, "fr"): (0, 8), (4, "en"): (1, 2), (4, "fr"): (0, 2), (5, "en"): (2, 3), (5, "fr"): (1, 3)}
+
+
+def test_longest_run(spark):
+    rows = [(1, ["a", "b", "b", "b", "a", "a"]), (2, []), (3, ["x"]), (4, None)]
+    df = spark.createDataFrame(rows, "k int, w array<string>")
+    assert {r.k: r.n for r in df.select("k", quality.longest_run(F.col("w")).alias("n")).collect()} == {1: 3, 2: 0, 3: 1, 4: None}

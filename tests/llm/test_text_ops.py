@@ -213,6 +213,31 @@ def test_recall_of_changed_passages(spark):
     assert sum(got.get(2 * i + 1) == 2 * i for i in range(100)) >= 95
 
 
+@pytest.mark.parametrize("size,groups", [(6, 40), (30, 6)])
+def test_recall_in_groups_of_changed_passages(spark, size, groups):
+    """A passage and variants of it with one word changed, in texts of their own; links are all pairs at a similarity of 0.8."""
+    r = random.Random(size)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts, own = [], []
+    for _ in range(groups):
+        base = words(50)
+        for k in range(size):
+            p = list(base)
+            if k:
+                p[r.randrange(50)] = words(1)[0]
+            own.append(p)
+            texts.append(" ".join(words(r.randrange(20, 120)) + p + words(r.randrange(20, 120))))
+    order = list(range(len(texts)))
+    r.shuffle(order)
+    got = {order[x.doc_id]: x.class_id for x in substring.repeated_passages(frame(spark, [texts[i] for i in order])).collect()}
+    sets = [{tuple(p[i : i + 5]) for i in range(46)} for p in own]
+    links = [(i, j) for g in range(groups) for i in range(g * size, (g + 1) * size) for j in range(i) if j >= g * size and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    kept = sum(got.get(i, -1) == got.get(j, -2) for i, j in links)
+    assert kept >= 0.95 * len(links) and len(links) >= groups * (size - 1)
+    for i, c in got.items():  # none joined wrongly
+        assert order[c] // size == i // size
+
+
 def test_sliding_minima():
     v = np.random.default_rng(0).integers(0, 1000, 300).astype(np.uint64)
     for t in (1, 2, 7, 46, 64, 300):

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.llm import jpeg
-from quorumtext.llm.textbatch import slices
+from quorumtext.llm.textbatch import slices, unlike
 
 UNIT = 192
 _SLICE = 1 << 20
@@ -83,7 +83,8 @@ def from_files(files: list[bytes]) -> list[tuple[int, bytes, np.ndarray]]:
 
 
 def encode_media(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` and ``media``."""
+    """Columns ``keep`` and ``media``; ``keep`` may not hold a ``media``."""
+    unlike(keep, ("media",))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +126,8 @@ def feature(tensor: np.ndarray) -> str:
 
 
 def decode_media(stored: DataFrame, media: str = "media", keep: tuple[str, ...] = ("doc_id",), tensor: bool = True) -> DataFrame:
-    """Columns ``keep``, n_bytes, payload, height, width, feature and, with ``tensor``, the RGB bytes by rows."""
+    """Columns ``keep``, n_bytes, payload, height, width, feature and, with ``tensor``, the RGB bytes by rows; ``keep`` may hold none of these names."""
+    unlike(keep, ("n_bytes", "payload", "height", "width", "feature", *(["rgb"] if tensor else [])))
     kinds = ", ".join(f"`{c}` {stored.schema[c].dataType.simpleString()}" for c in keep)
     kinds += ", n_bytes long, payload binary, height int, width int, feature string" + ", rgb binary" * tensor
 

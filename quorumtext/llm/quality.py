@@ -16,8 +16,8 @@
 
 Text view: shares of character classes, words' lengths, repeats and case, lines, and the
 words themselves, hashed with signs into WORDS places. Metadata view: language and source
-(an indicator for each value among the labelled rows, one for all others) and length.
-Neither sees the other's.
+(an indicator for each value among the labelled rows, one for all others) and length. The text
+view has the length in bytes among its measures, so the two share that one; all else is apart.
 
 Edge cases: null or empty texts have zero counts; null metadata is a category of its own;
 labels other than 0 and 1 or without id teach nothing, several labels of one id count as

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quorumtext.llm.textbatch import mix, slices, span_hashes
+from quorumtext.llm.textbatch import mix, slices, span_hashes, unlike
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 17
@@ -375,7 +375,8 @@ def decode_ids(ids: list[int], vocabulary: Vocabulary) -> str:
 
 
 def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), key: str = "doc_id", model: str = MODEL, seed: int = SEED, dropout: float = DROPOUT) -> DataFrame:
-    """Columns ``keep`` and ``tokens``, an array of ids; ``key`` names the document whose merges are drawn."""
+    """Columns ``keep`` and ``tokens``, an array of ids; ``key`` names the document whose merges are drawn. ``keep`` may not hold a ``tokens``."""
+    unlike(keep, ("tokens",))
     sent = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
 
@@ -394,7 +395,8 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
 
 def decode(tokens: DataFrame, keep: tuple[str, ...] = ("doc_id",), column: str = "tokens", model: str = MODEL) -> DataFrame:
-    """Columns ``keep`` and ``text``."""
+    """Columns ``keep`` and ``text``; ``keep`` may not hold a ``text``."""
+    unlike(keep, ("text",))
     sent = tokens.sparkSession.sparkContext.broadcast(Vocabulary.load(model).raw)
     kinds = ", ".join(f"`{c}` {tokens.schema[c].dataType.simpleString()}" for c in keep)
 

@@ -37,6 +37,12 @@ def give_back() -> None:
 give_back()
 
 
+def unlike(keep: tuple[str, ...], made: tuple[str, ...]) -> None:
+    """Refuse columns to keep that are called like a column that is made, case aside: the result would hold two of that name."""
+    if same := sorted({c for c in keep if c.lower() in {m.lower() for m in made}}):
+        raise ValueError(f"columns to keep are called like results: {', '.join(same)}; rename them first")
+
+
 def lower_ascii_table() -> np.ndarray:
     t = np.arange(256, dtype=np.uint8)
     t[65:91] += 32

@@ -80,3 +80,12 @@ def test_stages_pass_clashing_columns_on(spark, odd, tmp_path):
         if name != "sentencepiece":
             assert out.columns == odd.columns and {r[0] for r in out.select("c0").collect()} == {len(NAMES) - 1}, name
         assert stage(spark, odd.limit(0), d).count() == 0, name
+
+
+def test_columns_to_keep_may_not_be_called_like_results(spark):
+    from quorumtext.llm import media, spiece
+
+    docs = spark.createDataFrame([(1, "a", b"")], "doc_id int, text string, media binary").withColumns({"Tokens": F.array(F.lit(1)), "payload": F.lit(1)})
+    for make in (lambda: spiece.encode(docs, keep=("doc_id", "Tokens")), lambda: spiece.decode(docs, keep=("text",), column="Tokens"), lambda: media.encode_media(docs, keep=("media",)), lambda: media.decode_media(docs, keep=("payload",))):
+        with pytest.raises(ValueError):
+            make()

@@ -323,10 +323,9 @@ def _set_prints_of(docs: DataFrame) -> DataFrame:
 def _candidates(nodes: DataFrame) -> DataFrame:
     """(u, v, shared): nodes and the leaders of the groups that hold them, with the number of such groups."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn"))
+    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn")).repartition("key")
     who = F.struct("turn", "node")
     groups = rows.groupBy("key").agg(F.min(who).alias("first"), F.max(who).alias("last")).where("first.node <> last.node").select("key", F.col("first.node").alias("v"))
-    groups = cut(groups)  # so a fingerprint that very many nodes share can be split
     met = rows.join(groups.hint("merge"), "key").where("node <> v")
     return met.groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("shared"))
 
@@ -386,8 +385,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     prints = cut(_set_prints_of(docs))
     nodes = cut(prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    release(docs.sparkSession)
     named = nodes.where("node IS NOT NULL")
-    near = _near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long"))
+    near = cut(_near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long")))
+    release(docs.sparkSession)
     pairs = cut(_candidates(named).unionByName(near).groupBy("u", "v").agg(F.max("shared").alias("shared")))
     release(docs.sparkSession)
     best = pairs.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("best")).select("u", F.col("best.v").alias("v"))

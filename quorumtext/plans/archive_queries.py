@@ -146,7 +146,30 @@ def archive_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.episodes(files).join(lone, "video_id", "left").select("video_id", "title", "duration_seconds", F.array_join("hosts", ",").alias("hosts"), "n_orphans", "orphan")
 
 
-QUERIES = {f.__name__: f for f in (voice_profiles, sentence_snapping, timed_rulings, camera_labels, credit_links, model_notes, segment_gates, page_cells, phrase_removal, clock_and_link, guests_listed, topics_oldest_first, archive_turns, archive_headers)}
+def _episodes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Recordings and layers made of conversations: a day and a show by id, three layers in four."""
+    t = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.max("turn").alias("last"))
+    vid = F.lpad(F.col("conv_id").cast("string"), 11, "v")
+    ep = t.select(vid.alias("video_id"), F.concat(F.lit("show "), F.col("conv_id") % 3).alias("show"), F.date_add(F.lit("2024-01-01").cast("date"), F.col("conv_id").cast("int")).alias("publish_date"), (F.col("conv_id") % 100).cast("int").alias("ep"), F.concat(F.lit("a | b "), "conv_id", F.lit(" | Show")).alias("title"), (F.col("last") * 1000).cast("int").alias("duration_seconds"), F.array(F.lit("Ali")).alias("hosts"), F.array(F.lit("Ali"), F.lit("B. Abu")).alias("guests"))
+    layers = t.select("conv_id", vid.alias("video_id"), F.explode(F.array(*[F.lit(k) for k in publish.LAYERS])).alias("layer")).where("NOT (layer = 'raw' AND conv_id % 4 = 1)")
+    return ep, layers.select("video_id", "layer", F.concat("video_id", F.lit("/"), "layer", F.lit(".md")).alias("path"))
+
+
+def index_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of an index page for each show, read back from its text with the section they stand in."""
+    ep, layers = _episodes(spark, sf_dir)
+    rows = publish.index_view(ep, layers).groupBy("show").agg(F.array_sort(F.collect_list("row")).alias("x"))
+    page = F.concat(F.lit("# Index\n\n## "), F.col("show"), F.lit("\n\n| Ep | Date |\n|---|---|\n"), F.array_join("x", "\n"), F.lit("\n"))
+    got = archive.index_rows(rows.select(page.alias("text")), "en")
+    return got.select("video_id", "section", "ep", F.date_format("date", "yyyy-MM-dd").alias("date"), "title", "length", F.array_join("hosts", ",").alias("hosts"), F.array_join("guests", ",").alias("guests"), F.array_join(F.map_keys("links"), ",").alias("links"))
+
+
+def navigation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Navigation blocks of all layers: the current one in bold, links only to those that exist."""
+    return publish.nav_blocks(*_episodes(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (voice_profiles, sentence_snapping, timed_rulings, camera_labels, credit_links, model_notes, segment_gates, page_cells, phrase_removal, clock_and_link, guests_listed, topics_oldest_first, archive_turns, archive_headers, index_read_back, navigation)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^ \t\n\r\f\v]+')"
 _STRIP = r"regexp_replace(regexp_replace(w, '^[!-/:-@\[-`{-~]+', ''), '[!-/:-@\[-`{-~]+$', '')"
@@ -236,5 +259,20 @@ ORACLE_SQL = {
         WITH t AS (SELECT conv_id, turn, role, trim(regexp_replace(coalesce(text, ''), '[\s:*|\[\]]+', ' ', 'g')) AS text FROM conversations)
         SELECT 'v' || conv_id AS video_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INTEGER) AS seq, role AS speaker, text, 1 AS n_paragraphs, CAST(len({_WORDS}) AS BIGINT) AS n_words FROM t
     """,
+    "index_read_back": """
+        WITH c AS (SELECT conv_id, max(turn) AS l FROM conversations GROUP BY conv_id)
+        SELECT lpad(CAST(conv_id AS VARCHAR), 11, 'v') AS video_id, 'show ' || conv_id % 3 AS section, lpad(CAST(conv_id % 100 AS VARCHAR), 2, '0') AS ep, strftime(DATE '2024-01-01' + CAST(conv_id AS INTEGER), '%Y-%m-%d') AS date,
+               'a | b ' || conv_id || ' | Show' AS title, (l * 1000 // 3600) || 'h ' || (l * 1000 % 3600 // 60) || 'm' AS length, 'Ali' AS hosts, 'B. Abu' AS guests,
+               CASE WHEN conv_id % 4 = 1 THEN '' ELSE 'Raw,' END || 'Interview,English,Bahasa Melayu' AS links FROM c
+    """,
+    "navigation": """
+        WITH c AS (SELECT conv_id, max(turn) AS l FROM conversations GROUP BY conv_id),
+        k AS (SELECT unnest(['raw', 'interview', 'interview-en', 'interview-ms']) AS layer, unnest(['Raw', 'Interview', 'English', 'Bahasa Melayu']) AS name, unnest([1, 2, 3, 4]) AS o),
+        f AS (SELECT * FROM c, k WHERE NOT (layer = 'raw' AND conv_id % 4 = 1))
+        SELECT lpad(CAST(a.conv_id AS VARCHAR), 11, 'v') AS video_id, a.layer, '<!-- nav -->' || chr(10) || '**a - b ' || a.conv_id || '**' || chr(10) || chr(10)
+               || CAST(day(DATE '2024-01-01' + CAST(any_value(a.conv_id) AS INTEGER)) AS VARCHAR) || strftime(DATE '2024-01-01' + CAST(any_value(a.conv_id) AS INTEGER), ' %B %Y') || ' · ' || (any_value(a.l) * 1000 // 3600) || 'h ' || (any_value(a.l) * 1000 % 3600 // 60) || 'm · '
+               || string_agg(CASE WHEN b.layer = a.layer THEN '**' || b.name || '**' ELSE '[' || b.name || '](' || b.layer || '.md)' END, ' · ' ORDER BY b.o) || chr(10) || '<!-- /nav -->' AS nav
+        FROM f a JOIN f b ON a.conv_id = b.conv_id GROUP BY a.conv_id, a.layer
+    """,
     "archive_headers": "SELECT 'v' || conv_id AS video_id, 'It''s no. ' || conv_id AS title, CAST(count(*) AS INTEGER) AS duration_seconds, 'user' AS hosts, 1 AS n_orphans, 'lead line' AS orphan FROM conversations GROUP BY conv_id",
 }

@@ -202,7 +202,7 @@ def test_queries_equal_their_sql(spark, name, module):
     assert sorted(map(str, ([r[i] for i in at] for r in rel.fetchall()))) == sorted(str(list(r)) for r in df.collect())
 
 
-@pytest.mark.parametrize("siblings", [5, 15, 20, 2000])
+@pytest.mark.parametrize("siblings", [15, 20, 2000])
 def test_a_bad_section_is_blocked_beside_any_number_of_others(spark, siblings):
     """A section's verdict rests on its own labels; what else the site has changes nothing."""
     from quorumtext.llm import urlfilter

@@ -24,7 +24,7 @@ A broadcast of them would grow with the corpus.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -175,7 +175,7 @@ def parts_for(n: int, radius: int) -> int:
     return parts
 
 
-def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD) -> DataFrame:
+def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_shard: int = MAX_SHARD, keep: Callable[[DataFrame], DataFrame] = cut) -> DataFrame:
     """Edges (u, v) whose components are those of all pairs of nodes within ``radius`` bits.
 
     ``nodes``: (node long, fp long). ``parts`` and ``max_shard`` change the cost, never the result.
@@ -184,11 +184,11 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_
     masks = _masks(parts, radius)
     longer = {m: [m | x for x in _masks(2 * radius, radius, ~m & (1 << 64) - 1)] for m in masks}
     array = lambda xs: F.array(*[F.lit(_signed(x)).cast("long") for x in xs])
-    met = _met(nodes.withColumn("mask", F.explode(array(masks))))
+    met = _met(nodes.withColumn("mask", F.explode(array(masks))), keep)
     few = met.where(F.col("members") <= max_shard).withColumns({"a": F.lit(0), "b": F.lit(0)})
     more = F.create_map(*[y for m, xs in longer.items() for y in (F.lit(_signed(m)).cast("long"), array(xs))])
     hot = met.where(F.col("members") > max_shard).select("node", "fp", F.explode(F.element_at(more, F.col("mask"))).alias("mask"))
-    hot = _met(hot.distinct())
+    hot = _met(hot.distinct(), keep)
     pieces = F.ceil(F.col("members") / F.lit(max_shard)).cast("int")
     hot = hot.withColumn("own", F.pmod(F.xxhash64("fp"), pieces).cast("int")).withColumn("to", F.explode(F.sequence(F.lit(0), pieces - 1)))
     hot = hot.withColumns({"a": F.least("own", "to"), "b": F.greatest("own", "to")})
@@ -196,10 +196,10 @@ def links(nodes: DataFrame, radius: int = RADIUS, parts: int | None = None, max_
     return _searched(few.select(columns).unionByName(hot.select(columns)), radius)
 
 
-def _met(rows: DataFrame) -> DataFrame:
+def _met(rows: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rows (node, fp, mask) with the key's value and its members, where there are two at least."""
     rows = rows.withColumn("value", F.col("fp").bitwiseAND(F.col("mask")))
-    size = cut(rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))  # so a hot shard can be split
+    size = keep(rows.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("members")).where("members > 1"))  # in files a hot shard can be split
     return rows.join(size.hint("merge"), ["mask", "value"])
 
 
@@ -334,7 +334,7 @@ def _near_prints(nodes: DataFrame) -> DataFrame:
     """(u, v): nodes within RADIUS bits of SimHash, found by the BK-trees; equal fingerprints meet in their smallest node."""
     heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")))
     equal = nodes.join(heads.select("fp", F.col("node").alias("v")).hint("merge"), "fp").where("node <> v").select(F.col("node").alias("u"), "v")
-    return links(heads).unionByName(equal)
+    return links(heads, keep=lambda df: df).unionByName(equal)  # fewer steps: the driver of many small ones runs short of memory
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -387,8 +387,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     nodes = cut(prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     release(docs.sparkSession)
     named = nodes.where("node IS NOT NULL")
-    near = cut(_near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long")))
-    release(docs.sparkSession)
+    near = _near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long"))
     pairs = cut(_candidates(named).unionByName(near).groupBy("u", "v").agg(F.max("shared").alias("shared")))
     release(docs.sparkSession)
     best = pairs.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("best")).select("u", F.col("best.v").alias("v"))

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.llm.graph import connected_components
 from quorumtext.llm.textbatch import LOWER, mix, shingle_hashes, slices, span_hashes, word_spans
-from quorumtext.runtime import cut, release
+from quorumtext.runtime import Tables, cut, release
 
 RADIUS = 4
 MAX_SHARD = 8192
@@ -320,21 +320,21 @@ def _set_prints_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(each, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, s0 long, s1 long, fp long, bands array<long>")
 
 
-def _candidates(nodes: DataFrame) -> DataFrame:
+def _candidates(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(u, v, shared): nodes and the leaders of the groups that hold them, with the number of such groups."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn")).repartition("key")
+    rows = rows.select("key", "node", F.xxhash64("node", F.col("band") % ORDERS).alias("turn"))
     who = F.struct("turn", "node")
     groups = rows.groupBy("key").agg(F.min(who).alias("first"), F.max(who).alias("last")).where("first.node <> last.node").select("key", F.col("first.node").alias("v"))
-    met = rows.join(groups.hint("merge"), "key").where("node <> v")
+    met = rows.select("key", "node").join(keep(groups).hint("merge"), "key").where("node <> v")  # groups in a file, so a hot fingerprint can be split
     return met.groupBy(F.col("node").alias("u"), "v").agg(F.count(F.lit(1)).alias("shared"))
 
 
-def _near_prints(nodes: DataFrame) -> DataFrame:
+def _near_prints(nodes: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(u, v): nodes within RADIUS bits of SimHash, found by the BK-trees; equal fingerprints meet in their smallest node."""
-    heads = cut(nodes.groupBy("fp").agg(F.min("node").alias("node")))
+    heads = keep(nodes.groupBy("fp").agg(F.min("node").alias("node")))
     equal = nodes.join(heads.select("fp", F.col("node").alias("v")).hint("merge"), "fp").where("node <> v").select(F.col("node").alias("u"), "v")
-    return links(heads, keep=lambda df: df).unionByName(equal)  # fewer steps: the driver of many small ones runs short of memory
+    return keep(links(heads, keep=keep)).unionByName(equal)
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -387,8 +387,9 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     nodes = cut(prints.groupBy("s0", "s1").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
     release(docs.sparkSession)
     named = nodes.where("node IS NOT NULL")
-    near = _near_prints(named.select("node", "fp")).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long"))
-    pairs = cut(_candidates(named).unionByName(near).groupBy("u", "v").agg(F.max("shared").alias("shared")))
+    with Tables(docs.sparkSession, "near") as keep:
+        near = _near_prints(named.select("node", "fp"), keep).distinct().withColumn("shared", F.lit(BANDS + 1).cast("long"))
+        pairs = cut(_candidates(named, keep).unionByName(near).groupBy("u", "v").agg(F.max("shared").alias("shared")))
     release(docs.sparkSession)
     best = pairs.groupBy("u").agg(F.max(F.struct("shared", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
     found = cut(_similar(best, docs))

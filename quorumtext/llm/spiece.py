@@ -94,8 +94,9 @@ class PairTable:
             if len(p) == 1:
                 self.symbol[ord(p)] = i
         self.symbol[32], self.symbol[ord(MARK)] = self.symbol[ord(MARK)], size + ord(MARK)
-        pairs = [(v.ids[p[:k]] << 21 | v.ids[p[k:]], v.rank[p], i) for p, i in v.ids.items() for k in range(1, len(p)) if p[:k] in v.ids and p[k:] in v.ids]
-        key, rank, merged = (np.array(x, np.int64) for x in zip(*pairs, strict=True))
+        each = ((v.ids[p[:k]] << 21 | v.ids[p[k:]], v.rank[p], i) for p, i in v.ids.items() for k in range(1, len(p)) if p[:k] in v.ids and p[k:] in v.ids)
+        pairs = np.fromiter(each, [("key", np.int64), ("rank", np.int32), ("merged", np.int32)])  # a list of them would stay with the worker
+        key, rank, merged = (np.ascontiguousarray(pairs[c]) for c in ("key", "rank", "merged"))
         self.tables = []
         while len(key):  # what finds its place taken goes to a further table
             level, bits = len(self.tables), len(key).bit_length() + 2
@@ -103,9 +104,8 @@ class PairTable:
             at = self.slot(key, bits, level)
             slots[at[::-1]] = np.arange(len(key))[::-1]
             here = slots[at] == np.arange(len(key))
-            keys, ranks, pieces = np.full(1 << bits, -1, np.int64), np.full(1 << bits, NONE, np.int32), np.zeros(1 << bits, np.int32)
-            keys[at[here]], ranks[at[here]], pieces[at[here]] = key[here], rank[here], merged[here]
-            self.tables.append((bits, keys, ranks, pieces))
+            slots[at[here]] = np.arange(here.sum())
+            self.tables.append((bits, slots, np.append(key[here], -1), rank[here], merged[here]))  # an empty place leads to the last key
             key, rank, merged = key[~here], rank[~here], merged[~here]
 
     @staticmethod
@@ -118,9 +118,9 @@ class PairTable:
         key = left.astype(np.int64) << 21 | right
         rank, merged = np.full(len(key), NONE, np.int32), np.zeros(len(key), np.int32)
         rest = None
-        for level, (bits, keys, ranks, pieces) in enumerate(self.tables):
+        for level, (bits, slots, keys, ranks, pieces) in enumerate(self.tables):
             own = key if rest is None else key[rest]
-            at = self.slot(own, bits, level)
+            at = slots[self.slot(own, bits, level)]
             found = keys[at]
             hit = np.flatnonzero(found == own)
             to = hit if rest is None else rest[hit]

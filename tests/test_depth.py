@@ -181,6 +181,22 @@ def test_a_wrong_first_letter_is_found(spark):
     assert sorted((r.k, r.name) for r in quality.names_absent(pub, raw, ["k"]).collect()) == [(1, "Lim Guan"), (2, "Kassim Ali")]
 
 
+def test_names_absent_counts_bytes_as_its_sql_does(spark, tmp_path):
+    """Two changed letters beyond ASCII are up to four bytes."""
+    import duckdb
+
+    from quorumtext.plans import text_queries
+
+    said = [("Der Enö", "Der Enas"), ("Jörg Weiß", "Jorg Weiß"), ("Jörg Weiß", "Jorg Weis"), ("Ärne Öst", "Érne Òst"), ("Max Groß", "Max Gross"), ("Ali Hassan", "Ali Hasan")]
+    rows = [(i, k, role, text) for i, pair in enumerate(said) for k, (role, text) in enumerate(zip(("assistant", "user"), pair, strict=True))]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = sorted(con.execute(text_queries.ORACLE_SQL["names_absent"]).fetchall())
+    got = sorted((r.conv_id, r.name) for r in text_queries.names_absent(spark, str(tmp_path)).collect())
+    assert got == want and got
+
+
 def unrolled(text, video, entries):
     for _, wrong, right, scope in sorted(entries, key=lambda e: (e[0], e[1] or "", e[2] or "", e[3] or "")):
         if wrong and scope in (None, video):

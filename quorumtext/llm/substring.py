@@ -15,14 +15,16 @@ the tree's other nodes own no passage of the least length.
 3. The texts of each (document, representative) pair are compared once: a passage is at
    least t tokens of which the other text holds so many, close together, that the
    similarity of the two token sets is 0.8 or more.
-4. A document that met a representative without a passage in common is compared once more, with
-   the document that most others share a passage with of those that do with its representative: of inexact
-   passages that go back to one, the one they go back to. That is a pair a pair at most.
+4. A signature whose documents are not one class by then may still hide links between texts that its
+   representative does not resemble. All its pairs of different texts of different classes are compared,
+   but for cells without a window of which another cell of the signature holds tokens enough: a
+   sentence that very many documents have, in surroundings of their own, costs its rows, not pairs.
 5. Where a cell of a document and its representative's are not inside one verified passage
    on both sides, all windows of t tokens of both cells are hashed whole and equal ones
    linked, so exact passages are found whoever the representative is, also if the two
-   share another passage. (What can be missed is an inexact passage whose signatures'
-   representatives, and what these share passages with, are not similar to it in any band.)
+   share another passage. (What can be missed is an inexact passage without a common signature in
+   any band: two windows at 0.8 have one with a chance of 1 - (1 - 0.8 ** 2) ** 4 = 0.983, and a passage has
+   as many windows as it is longer.)
 6. Components of the links are the classes.
 
 Edge cases: null and empty texts and those under ``min_words`` words have no passage;
@@ -247,27 +249,85 @@ def _written(rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
 
 
 def _met(cells_of: DataFrame) -> DataFrame:
-    """(u, v, x, y), cut: cells x of u whose signature's representative is v's cell y."""
-    rows, delete = _written(cells_of)  # read by two exchanges, so the one for the join can be split at a hot signature
-    who = F.struct("n", "doc_id", "x")
-    groups = rows.groupBy("key").agg(F.min(who).alias("rep"), F.max("doc_id").alias("last"), F.min("doc_id").alias("least")).where("least <> last").select("key", F.col("rep.doc_id").alias("v"), F.col("rep.x").alias("y"))
-    groups = cut(groups)
-    met = cut(rows.select("key", "doc_id", "x").join(groups.hint("merge"), "key").where("doc_id <> v").select(F.col("doc_id").alias("u"), "v", "x", "y"))
+    """(key, u, v, x, y), cut: cells x of u whose signature's representative is v's cell y."""
+    rows, delete = _written(cells_of)
+    keys = cut(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("key"))
+    shared = cut(sieved(rows, F.col("key"), keys, F.col("key")).join(keys.hint("merge"), "key"))  # most signatures are one document's
     delete()
-    return met
-
-
-def _led_again(pairs: DataFrame, passages: DataFrame) -> DataFrame:
-    """(u, v): of the pairs (u, v) without a passage, u with the best connected document that shares one with v, unless they have met."""
-    met = cut(passages.select("u", "v").distinct())
-    both = met.unionByName(met.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    degree = cut(both.groupBy(F.col("v").alias("w")).agg(F.count(F.lit(1)).alias("degree")))
-    hubs = both.select(F.col("u").alias("v"), F.col("v").alias("w")).join(degree.hint("merge"), "w").groupBy("v").agg(F.max(F.struct("degree", "w")).alias("hub"))
-    hubs = cut(hubs.select("v", F.col("hub.w").alias("hub")))
-    lone = pairs.join(met.hint("merge"), ["u", "v"], "left_anti")
-    again = lone.join(hubs.hint("merge"), "v").where("u <> hub").select(F.greatest("u", "hub").alias("u"), F.least("u", "hub").alias("v")).distinct()
+    groups = shared.groupBy("key").agg(F.min(F.struct("n", "doc_id", "x")).alias("rep")).select("key", F.col("rep.doc_id").alias("v"), F.col("rep.x").alias("y"))
+    groups = cut(groups)  # so the join can be split at a hot signature
+    return cut(shared.join(groups.hint("merge"), "key").where("doc_id <> v").select("key", F.col("doc_id").alias("u"), "v", "x", "y"))
+
+
+def _tokens_of(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+    """(h, key, doc_id, x, at): the tokens in and closely around cells (key, doc_id, x), by place from the first, hashed with the key."""
+    asked = cut(members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "x")).alias("asked")))
+    own = sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id").select("doc_id", "text", "asked")
+    around = t // 4  # the other side of a passage is longer by a quarter at most
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lo = 0
+            for s in slices(b.column(1)):
+                h, begin = tokens(s.data, s.bounds)
+                cells_of = b.column(2).slice(lo, s.hi - s.lo)
+                row, flat = np.repeat(np.arange(s.hi - s.lo), pc.list_value_length(cells_of).to_numpy()), cells_of.flatten()
+                key, x = flat.field("key").to_numpy(), flat.field("x").to_numpy()
+                first = np.maximum(begin[row], begin[row] + (x >> 32) - around)
+                size = np.minimum(begin[row + 1], begin[row] + (x & 0xFFFFFFFF) + t + around) - first
+                ends = np.cumsum(size)
+                for k in range(0, len(size), 1024):
+                    n = size[k : k + 1024]
+                    cell = np.repeat(np.arange(k, k + len(n)), n)
+                    at = np.arange(len(cell)) - np.repeat(ends[k : k + 1024] - n - (ends[k - 1] if k else 0), n)
+                    mixed = mix(h[first[cell] + at] + mix(key[cell].view(np.uint64)))
+                    yield pa.record_batch({"h": pa.array(mixed.view(np.int64)), "key": pa.array(key[cell]), "doc_id": b.column(0).take(pa.array(lo + row[cell])), "x": pa.array(x[cell]), "at": pa.array(at.astype(np.int32))})
+                lo += s.hi - s.lo
+
+    return own.mapInArrow(each, f"h long, key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, x long, at int")
+
+
+def _met_elsewhere(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+    """(key, doc_id): of cells (key, doc_id, x), those with a window of which other documents of the key hold tokens enough for a passage."""
+    rows, delete = _written(_tokens_of(members, docs, t))
+    common = cut(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("h"))
+    places = sieved(rows, F.col("h"), common, F.col("h")).join(common.hint("merge"), "h").groupBy("key", "doc_id", "x").agg(F.collect_list("at").alias("at"))
+    least = int(np.ceil(2 * t * SIMILARITY / (1 + SIMILARITY)))
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = []
+            for at in b.column(2):
+                got = np.cumsum(np.bincount(at.values.to_numpy() + 1))
+                good.append(bool((got[t:] - got[:-t]).max() >= least) if len(got) > t else int(got[-1]) >= least)
+            yield pa.record_batch([c.filter(pa.array(good, pa.bool_())) for c in b.columns[:2]], names=["key", "doc_id"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    out = cut(places.select("key", "doc_id", "at").mapInArrow(each, f"key long, doc_id {kind}").distinct())
+    delete()
+    return out
+
+
+def _across(links: DataFrame, pairs: DataFrame, passages: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+    """(u, v), cut: the pairs of different texts with a common signature that neither met nor are of one class by ``passages``."""
+    comp = cut(connected_components(passages.select("u", "v").distinct()))
+    side = lambda c: comp.select(F.col("node").alias(c), F.col("component").alias(f"c{c}")).hint("merge")
+    lone = cut(pairs.join(side("u"), "u", "left").join(side("v"), "v", "left").where("coalesce(cu, u) <> coalesce(cv, v)").select("u", "v"))
+    keys = cut(links.join(lone.hint("merge"), ["u", "v"], "left_semi").select("key").distinct())
+    own = cut(sieved(links, F.col("key"), keys, F.col("key")).join(keys.hint("merge"), "key", "left_semi"))
+    members = cut(own.select("key", F.col("u").alias("doc_id"), "x").unionByName(own.select("key", F.col("v").alias("doc_id"), F.col("y").alias("x"))).distinct())
+    asked = cut(members.select("doc_id").distinct())
+    text = cut(sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", F.sha2("text", 256).alias("text")))
+    first = cut(text.groupBy("text").agg(F.min("doc_id").alias("first")))  # copies go by one of them
+    copies = text.join(first.hint("merge"), "text").groupBy("doc_id").agg(F.min("first").alias("first"))
+    members = cut(members.join(copies.hint("merge"), "doc_id").select("key", F.col("first").alias("doc_id"), "x").distinct())
+    good = _met_elsewhere(members, docs, t)
+    known = comp.select(F.col("node").alias("doc_id"), "component")
+    good = cut(good.join(known.hint("merge"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
+    one, two = (good.select("key", F.col("doc_id").alias(d), F.col("c").alias(f"c{d}")) for d in ("u", "v"))
+    across = one.join(two.hint("merge"), "key").where("u > v AND cu <> cv").select("u", "v").distinct()
     known = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    return cut(again.join(known.hint("merge"), ["u", "v"], "left_anti"))
+    return cut(across.join(known.hint("merge"), ["u", "v"], "left_anti"))
 
 
 def _uncovered(links: DataFrame, passages: DataFrame, words: int) -> DataFrame:
@@ -291,7 +351,7 @@ def passage_links(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     release(docs.sparkSession)
     passages = cut(_compared(pairs, docs, t))
     release(docs.sparkSession)
-    passages = passages.unionByName(cut(_compared(_led_again(pairs, passages), docs, t)))
+    passages = passages.unionByName(cut(_compared(_across(links, pairs, passages, docs, t), docs, t)))
     del pairs
     release(docs.sparkSession)
     rest = cut(_uncovered(links, passages, words))

@@ -244,6 +244,29 @@ def test_sliding_minima():
         assert (substring.sliding_minima(v, t) == [v[i : i + t].min() for i in range(len(v) - t + 1)]).all()
 
 
+def test_no_pair_of_a_signature_is_left_out(spark):
+    """Chains of texts of which only neighbours are similar: all pairs with a common signature and a passage are of one class."""
+    r = random.Random(5)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    texts = []
+    for _ in range(25):
+        p = words(50)
+        for k in range(10):
+            texts.append(" ".join(words(r.randrange(20, 120)) + p + words(r.randrange(20, 120))))
+            p = [*p[: 5 * k + 2], *words(1), *p[5 * k + 3 :]]
+    r.shuffle(texts)
+    docs = frame(spark, texts)
+    got = {x.doc_id: x.class_id for x in substring.repeated_passages(docs).collect()}
+    t = substring.MIN_WORDS - substring.SHINGLE + 1
+    met = set()
+    for band in substring.BANDS:
+        for x in substring._windows(docs, t, band).groupBy("key").agg(F.collect_set("doc_id").alias("own")).where("size(own) > 1").collect():
+            met |= {(a, b) for a in x.own for b in x.own if a > b}
+    pairs = spark.createDataFrame(sorted(met), "u long, v long")
+    links = {(x.u, x.v) for x in substring._compared(pairs, docs, t).collect()}
+    assert len(links) > 200 and [(u, v) for u, v in sorted(links) if got.get(u, -1) != got.get(v, -2)] == []
+
+
 def test_near_copies(spark):
     r = random.Random(2)
     words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]

@@ -289,6 +289,27 @@ def test_near_copies(spark):
     assert got[n] == got[n + 1] == n
 
 
+def test_no_pair_of_a_fingerprint_is_left_out(spark):
+    """Variants of a text that is not there, few of them similar: all pairs at 0.8 with a common fingerprint are of one component."""
+    r = random.Random(6)
+    words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
+    shingles = lambda w: {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
+    own = []
+    for _ in range(10):
+        base = words(70)
+        for _ in range(40):
+            own.append(list(base))
+            for i in r.sample(range(70), 1):
+                own[-1][i] = words(1)[0]
+    r.shuffle(own)
+    docs = frame(spark, [" ".join(w) for w in own])
+    got = {x.doc_id: x.component_id for x in simhash.near_copies(docs).collect()}
+    bands = {x.doc_id: set(x.bands) for x in simhash._set_prints_of(docs.select("doc_id", "text")).collect()}
+    sets = [shingles(w) for w in own]
+    links = [(i, j) for i in range(len(own)) for j in range(i) if bands[i] & bands[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    assert len(links) > 200 and [(i, j) for i, j in links if got[i] != got[j]] == []
+
+
 def near_pairs(seed):
     """Pairs of texts with the Jaccard similarity of their five-word shingles: blocks added and cut, words changed."""
     r = random.Random(seed)

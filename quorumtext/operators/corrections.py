@@ -6,17 +6,22 @@ Aho-Corasick automaton tells which entries a text holds at all; the first of the
 applied, and as it may make or break others, the text is looked at again for those behind
 it. Texts hold few entries, so the cost follows the text, not the dictionary.
 
-The dictionary travels in blocks of at most ``most`` entries and ``most_chars`` characters, in
-order, each a map over what the block before has made: no size is refused, none is broadcast
-unbounded, and texts never shuffle. Entries of recordings that are not there are left out first.
+A dictionary of at most ``most`` entries and ``most_chars`` characters travels whole, and texts never
+shuffle. A larger one stays a table, so no task holds more of it than its texts need: an entry
+meets the texts that hold its longest word (or, if it has no ASCII word, its first
+characters) by a hash, and each different text gets its own entries. What replacements write may make
+further entries apply; texts tell what they came to hold, and are done again with the
+entries for it until nothing is new. No size is refused. Entries of recordings that are not there are
+left out first.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.runtime import cut, ship_package, unused
@@ -92,31 +97,101 @@ def corrected(turns: DataFrame, corrections: DataFrame, text: str = "text", scop
     listed = corrections.where("wrong <> ''").select("ord", "wrong", F.coalesce("right", F.lit("")).alias("right"), F.col("scope").cast(kind).alias("scope"))
     there = turns.select(F.col(scope).alias("scope")).distinct()
     listed = listed.where("scope IS NULL").unionByName(listed.join(there, "scope", "left_semi").select(listed.columns))
-    numbered = blocks(listed, most, most_chars)
-    out = turns
-    for r in numbered.select("by_number", "by_size").distinct().orderBy("by_number", "by_size").collect():
-        rows = numbered.where((F.col("by_number") == r.by_number) & (F.col("by_size") == r.by_size)).orderBy(*ORDER).collect()
-        out = _mapped(out, text, scope, turns.sparkSession.sparkContext.broadcast([(x.wrong, x.right, x.scope) for x in rows]))
-    return out
+    held = listed.select(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.char_length("wrong") + F.char_length("right")).cast("long")), F.lit(0)).alias("chars")).first()
+    if not held.n:
+        return turns
+    if held.n <= most and held.chars <= most_chars:
+        rows = listed.orderBy(*ORDER).collect()
+        return _mapped(turns, text, scope, turns.sparkSession.sparkContext.broadcast([(x.wrong, x.right, x.scope) for x in rows]))
+    return _joined(turns, listed, text, scope)
 
 
-def blocks(listed: DataFrame, most: int, most_chars: int) -> DataFrame:
-    """``listed`` with ``by_number`` and ``by_size``: pairs that rise with the order, each of ``most`` entries and about ``most_chars`` characters at most.
+_WORD = re.compile("[A-Za-z0-9_]+")
+_OTHER = re.compile("[^A-Za-z0-9_]+")
+GRAM = 3
 
-    The entries are sorted in ranges; running numbers within a range and the ranges' totals, few,
-    give each entry its place, so no task holds them all.
+
+def anchor(wrong: str) -> str:
+    """What a text must hold, as one of its ``anchors``, for an entry to apply."""
+    return max(_WORD.findall(wrong), key=len, default=wrong[:GRAM])
+
+
+def anchors(text: str, others: bool = True) -> set[str]:
+    """The words of a text, and with ``others`` the up to ``GRAM`` characters from each place between them.
+
+    An entry applies where no word character touches it, so its own words are whole words of the text,
+    and an entry without a word lies between two of them.
     """
-    size = (F.char_length("wrong") + F.char_length("right")).cast("long")
-    placed = cut(listed.orderBy(*ORDER).withColumns({"range": F.spark_partition_id(), "size": size}))
-    totals = placed.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars")).orderBy("range").collect()
-    before_n, before_chars, n, chars = {}, {}, 0, 0
-    for r in totals:
-        before_n[r.range], before_chars[r.range] = n, chars
-        n, chars = n + r.n, chars + r.chars
-    at = lambda by: F.element_at(F.create_map(*[F.lit(x) for kv in (by or {0: 0}).items() for x in kv]), F.col("range")).cast("long")
-    w = Window.partitionBy("range").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
-    number, upto = at(before_n) + F.count(F.lit(1)).over(w) - 1, at(before_chars) + F.sum("size").over(w)
-    return placed.withColumns({"by_number": F.floor(number / most), "by_size": F.floor(upto / most_chars)}).drop("range", "size")
+    between = _OTHER.findall(text) if others else []
+    return {*_WORD.findall(text), *(run[i : i + n] for run in between for n in range(1, GRAM + 1) for i in range(len(run) - n + 1))}
+
+
+def replaced_in_order(text: str, entries: list[tuple[str, str, int]], others: bool = True) -> tuple[str, set[str]]:
+    """A text after entries (wrong, right, times), and the anchors that it came to hold on the way and had not before."""
+    had, came = None, set()
+    for wrong, right, times in entries:
+        for _ in range(times):
+            new = replaced(text, wrong, right) if wrong in text else text
+            if new != text:
+                had = anchors(text, others) if had is None else had
+                came |= anchors(new) if others else anchors(right, others)  # its words are whole words there
+                text = new
+    return text, came - had if had else came
+
+
+def _anchors_of(texts: DataFrame, others: bool) -> DataFrame:
+    """(id, scope, anchor) of texts (id, scope, text)."""
+
+    def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for c in columns:
+            yield pa.array([list(anchors(x, others)) for x in c.to_pylist()], pa.list_(pa.string()))
+
+    return texts.select("id", "scope", F.explode(F.arrow_udf(each, "array<string>")("text")).alias("anchor"))
+
+
+def _entries_of(asked: DataFrame, listed: DataFrame) -> DataFrame:
+    """(id, entry) of what texts hold: (id, scope, anchor); entries of a scope meet only their own recording's texts."""
+    wide, own = F.xxhash64("anchor"), F.xxhash64("anchor", F.col("scope").cast("string"))
+    keys = asked.select("id", F.explode(F.when(F.col("scope").isNull(), F.array(wide)).otherwise(F.array(wide, own))).alias("by"))
+    entries = listed.select(F.when(F.col("scope").isNull(), wide).otherwise(own).alias("by"), F.struct(*ORDER, "times").alias("entry"))
+    return keys.join(entries.hint("merge"), "by").select("id", "entry")
+
+
+def _joined(turns: DataFrame, listed: DataFrame, text: str, scope: str) -> DataFrame:
+    def first(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for c in columns:
+            yield pa.array([anchor(x) for x in c.to_pylist()], pa.string())
+
+    def each(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, lists in columns:
+            out = []
+            for t, own in zip(texts.to_pylist(), lists.to_pylist(), strict=True):
+                new, came = replaced_in_order(t, [(e["wrong"], e["right"], e["times"]) for e in own], others)
+                out.append({"text": new, "came": list(came)})
+            yield pa.array(out, pa.struct([("text", pa.string()), ("came", pa.list_(pa.string()))]))
+
+    listed = listed.groupBy(*ORDER).agg(F.count(F.lit(1)).cast("int").alias("times"))
+    listed = cut(listed.withColumn("anchor", F.arrow_udf(first, "string")("wrong")))
+    others = not listed.where("NOT wrong RLIKE '[A-Za-z0-9_]'").isEmpty()
+    own = F.col(scope).cast("string")
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.concat(F.char_length(own).cast("string"), F.lit(":"), own), F.lit("-")), F.lit(" "), F.col(text))))
+    texts = cut(turns.where(F.col(text).isNotNull()).select(key.alias("id"), F.col(scope).alias("scope"), F.col(text).alias("text")).dropDuplicates(["id"]))
+    seen = _anchors_of(texts, others)
+    held = cut(_entries_of(seen, listed).groupBy("id").agg(F.array_sort(F.collect_set("entry")).alias("own")))
+    done = None
+    while True:
+        made = texts.join(held.hint("merge"), "id").select("id", "scope", "text", "own", F.arrow_udf(each, "text string, came array<string>")("text", F.transform("own", lambda e: F.struct(e["wrong"].alias("wrong"), e["right"].alias("right"), e["times"].alias("times")))).alias("made"))
+        made = cut(made)
+        more = _entries_of(made.select("id", "scope", F.explode("made.came").alias("anchor")), listed).groupBy("id").agg(F.collect_set("entry").alias("more"))
+        more = cut(made.select("id", "own").join(more.hint("merge"), "id").select("id", F.array_sort(F.array_union("own", "more")).alias("all"), "own").where("size(all) > size(own)").select("id", F.col("all").alias("own")))
+        last = made.join(more.select("id").hint("merge"), "id", "left_anti").select("id", F.col("made.text").alias("text"))
+        done = last if done is None else done.unionByName(last)
+        if more.isEmpty():
+            break
+        held = more
+    id_, new = unused(turns.columns, "id"), unused([*turns.columns, "id"], "corrected")
+    out = turns.withColumn(id_, key).join(done.select(F.col("id").alias(id_), F.col("text").alias(new)).hint("merge"), id_, "left")
+    return out.withColumn(text, F.coalesce(F.col(new), F.col(text))).select(turns.columns)
 
 
 def _mapped(turns: DataFrame, text: str, scope: str, sent) -> DataFrame:

@@ -197,6 +197,19 @@ def test_names_absent_counts_bytes_as_its_sql_does(spark, tmp_path):
     assert got == want and got
 
 
+def test_large_dictionaries_are_not_sent_to_the_workers(spark, monkeypatch):
+    """Each text gets its own entries, those that replacements make apply too; between words as well."""
+    from quorumtext.operators import corrections
+
+    monkeypatch.setattr(corrections, "_mapped", None)
+    entries = [(i, f"w{i}", f"w{i + 1}", None) for i in range(6)] + [(9, "é", "", None), (10, "--", "#", None), (11, "w6 #", "end", "v"), (12, " ", "_", None)] + [(20, f"x{i}", "y", "v") for i in range(500)]
+    rows = [("v", "w0 -é- x7"), ("w", "w3 -é- x7"), (None, "w5 é é"), ("v", None), (None, "v"), ("v", "w0 -é- x7")]
+    turns = spark.createDataFrame(rows, "video_id string, text string")
+    got = corrected(turns, spark.createDataFrame(entries, "ord int, wrong string, right string, scope string"), most=100)
+    key = lambda v, t: (v or "", t or "")
+    assert sorted(key(*r) for r in got.collect()) == sorted(key(v, t and unrolled(t, v, entries)) for v, t in rows)
+
+
 def unrolled(text, video, entries):
     for _, wrong, right, scope in sorted(entries, key=lambda e: (e[0], e[1] or "", e[2] or "", e[3] or "")):
         if wrong and scope in (None, video):

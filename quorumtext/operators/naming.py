@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quorumtext.operators.alignment import RUN, aligned, bare
 from quorumtext.operators.turns import UNKNOWN
-from quorumtext.runtime import ship_package, unused
+from quorumtext.runtime import Tables, cut, ship_package, unused
 
 MAX_PROFILES = 10_000
 
@@ -150,7 +150,8 @@ def nearest_profile(voices: DataFrame, profiles: DataFrame, max_profiles: int =
     """(video_id, spk, speaker, similarity, n_compared): each anonymous voice's nearest named profile by cosine, exactly.
 
     ``profiles`` (speaker, embedding) is a query set that every voice needs: it travels in blocks of about half of
-    ``max_profiles`` rows, and a voice keeps its best of them all. Inside a block a voice meets only the
+    ``max_profiles`` rows, one after the other, and a voice keeps its best of them all. What a block found is a table
+    before the next is sent, so a task holds one block, however many there are. Inside a block a voice meets only the
     groups that the triangle inequality leaves; ``n_compared`` counts the pivots and profiles it met.
     Of equally near profiles the last by name wins. A voice or profile without a direction (null, empty, zero,
     null or non-finite components), and a profile of another length than the voice, is near nothing: such a voice has a null speaker.
@@ -165,34 +166,38 @@ def nearest_profile(voices: DataFrame, profiles: DataFrame, max_profiles: int =
     name = {c: unused(voices.columns, c) for c in ("speaker", "similarity", "n_compared", "sound")}
     out = voices.select("video_id", "spk", "embedding", F.coalesce(sound, F.lit(False)).alias(name["sound"]), F.lit(None).cast("string").alias("speaker"), F.lit(None).cast("double").alias("similarity"), F.lit(0).cast("long").alias("n_compared"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in out.schema.fields)
-    for k in range(blocks):
-        rows = known.where(block == k).select("speaker", "embedding").collect()
-        by: dict[int, tuple[list[str], list]] = {}
-        for r in rows:
-            names, vectors = by.setdefault(len(r.embedding), ([], []))
-            names.append(r.speaker)
-            vectors.append(r.embedding)
-        unit = lambda x: x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
-        sent = voices.sparkSession.sparkContext.broadcast({d: Profiles(names, unit(np.array(vectors, np.float64))) for d, (names, vectors) in by.items()})
-
-        def each(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                size = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
-                ok = b.column(3).to_numpy(zero_copy_only=False)
-                speaker, similarity = b.column(4).to_pylist(), b.column(5).to_numpy(zero_copy_only=False).copy()
-                met = b.column(6).to_numpy().copy()
-                for d, own in sent.value.items():
-                    at = np.flatnonzero(ok & (size == d))
-                    for lo in range(0, len(at), 4096):
-                        part = at[lo : lo + 4096]
-                        x = b.column(2).take(pa.array(part)).flatten().to_numpy().astype(np.float64).reshape(len(part), d)
-                        x /= np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
-                        best, who = np.full(len(part), -np.inf), np.zeros(len(part), np.int64)
-                        met[part] += own.nearest(x, best, who)
-                        for i, s, w in zip(part.tolist(), best.tolist(), who.tolist(), strict=True):
-                            if speaker[i] is None or (s, own.names[w]) > (similarity[i], speaker[i]):
-                                similarity[i], speaker[i] = s, own.names[w]
-                yield pa.record_batch([*b.columns[:4], pa.array(speaker, pa.string()), pa.array(similarity, pa.float64(), from_pandas=True), pa.array(met)], names=b.schema.names)
-
-        out = out.mapInArrow(each, kinds)
-    return out.select("video_id", "spk", "speaker", "similarity", "n_compared")
+    with Tables(voices.sparkSession, "profiles") as keep:
+        for k in range(blocks):
+            rows = known.where(block == k).select("speaker", "embedding").collect()
+            by: dict[int, tuple[list[str], list]] = {}
+            for r in rows:
+                names, vectors = by.setdefault(len(r.embedding), ([], []))
+                names.append(r.speaker)
+                vectors.append(r.embedding)
+            unit = lambda x: x / np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
+            sent = voices.sparkSession.sparkContext.broadcast({d: Profiles(names, unit(np.array(vectors, np.float64))) for d, (names, vectors) in by.items()})
+
+            def each(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                for b in batches:
+                    size = b.column(2).value_lengths().to_numpy(zero_copy_only=False)
+                    ok = b.column(3).to_numpy(zero_copy_only=False)
+                    speaker, similarity = b.column(4).to_pylist(), b.column(5).to_numpy(zero_copy_only=False).copy()
+                    met = b.column(6).to_numpy().copy()
+                    for d, own in sent.value.items():
+                        at = np.flatnonzero(ok & (size == d))
+                        for lo in range(0, len(at), 4096):
+                            part = at[lo : lo + 4096]
+                            x = b.column(2).take(pa.array(part)).flatten().to_numpy().astype(np.float64).reshape(len(part), d)
+                            x /= np.sqrt(np.einsum("nd,nd->n", x, x))[:, None]
+                            best, who = np.full(len(part), -np.inf), np.zeros(len(part), np.int64)
+                            met[part] += own.nearest(x, best, who)
+                            for i, s, w in zip(part.tolist(), best.tolist(), who.tolist(), strict=True):
+                                if speaker[i] is None or (s, own.names[w]) > (similarity[i], speaker[i]):
+                                    similarity[i], speaker[i] = s, own.names[w]
+                    yield pa.record_batch([*b.columns[:4], pa.array(speaker, pa.string()), pa.array(similarity, pa.float64(), from_pandas=True), pa.array(met)], names=b.schema.names)
+
+            out = out.mapInArrow(each, kinds)
+            if k < blocks - 1:
+                out = keep(out, alone=True)
+        out = out.select("video_id", "spk", "speaker", "similarity", "n_compared")
+        return cut(out) if blocks > 1 else out

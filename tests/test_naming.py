@@ -91,6 +91,19 @@ def test_profiles_equal_brute_force_and_most_are_not_compared(spark, most):
     assert naming.nearest_profile(v.limit(0), p).count() == 0
 
 
+def test_a_task_holds_one_block_of_profiles(spark):
+    """Blocks follow each other in jobs of their own, so the workers of many never run at once."""
+    rng = np.random.default_rng(4)
+    rows = lambda n: [(f"p{i:03}", rng.normal(size=4).tolist()) for i in range(n)]
+    p = spark.createDataFrame(rows(90), "speaker string, embedding array<double>")
+    v = spark.createDataFrame([("v", *r) for r in rows(20)], "video_id string, spk string, embedding array<double>")
+    many, one = (naming.nearest_profile(v, p, most) for most in (20, 100))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") <= 1
+    found = lambda x: sorted((r.spk, r.speaker, round(r.similarity, 12)) for r in x.collect())
+    assert found(many) == found(one)
+
+
 def test_clashing_columns_of_points(spark):
     points = spark.createDataFrame([("k", 1.0, 7)], "k string, t double, row int").withColumns({c: F.lit(3) for c in ("part", "item", "k0", "found", "_active")})
     intervals = spark.createDataFrame([("k", 0.0, 2.0, "n")], "k string, s double, e double, name string")

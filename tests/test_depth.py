@@ -181,6 +181,13 @@ def test_a_wrong_first_letter_is_found(spark):
     assert sorted((r.k, r.name) for r in quality.names_absent(pub, raw, ["k"]).collect()) == [(1, "Lim Guan"), (2, "Kassim Ali")]
 
 
+def test_names_in_a_run_of_very_many_words(spark):
+    """A run of capitalised words is one name, however long it is."""
+    run = " ".join(["Ab"] * 30_000)
+    df = spark.createDataFrame([(1, f"and {run} or Siti Aminah")], "k int, text string")
+    assert {r.name for r in quality.names_in(df, ["k"]).collect()} == {run, "Siti Aminah"}
+
+
 def test_names_absent_counts_bytes_as_its_sql_does(spark, tmp_path):
     """Two changed letters beyond ASCII are up to four bytes."""
     import duckdb

@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,11 +84,22 @@ def rising(b: list[int]) -> list[int]:
 def chain(found: DataFrame, key: list[str]) -> DataFrame:
     """The anchors of a longest chain that rises on both sides, per recording."""
 
-    def longest(t: pa.Table) -> pa.Table:
-        t = t.sort_by("a_pos")
-        return t.take(pa.array(rising(t.column("b_pos").to_pylist()), pa.int64()))
+    per = found.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("a_pos", "b_pos"))).alias("_places"))
 
-    return found.groupBy(*key).applyInArrow(longest, found.schema)
+    def longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, places = pc.list_value_length(batch.column(len(key))).to_numpy(), batch.column(len(key)).flatten()
+            b, kept, rows, end = places.field("b_pos").to_numpy(), [], [], 0
+            for r, n in enumerate(size.tolist()):
+                own = b[end : end + n]
+                at = np.arange(n) if (own[1:] > own[:-1]).all() else np.array(rising(own.tolist()), np.int64)
+                kept.append(at + end)
+                rows.append(np.full(len(at), r))
+                end += n
+            at, row = (pa.array(np.concatenate(x or [np.zeros(0, np.int64)])) for x in (kept, rows))
+            yield pa.record_batch([*[batch.column(i).take(row) for i in range(len(key))], places.field("a_pos").take(at), places.field("b_pos").take(at)], names=[*key, "a_pos", "b_pos"])
+
+    return per.select(*key, "_places").mapInArrow(longest, found.schema)
 
 
 def banded(a: np.ndarray, b: np.ndarray, k: int) -> tuple[np.ndarray, int]:
@@ -141,7 +153,9 @@ def edit_path(a: np.ndarray, b: np.ndarray, cells: int = _CELLS) -> list[tuple[i
     n, m = len(a), len(b)
     if not n or not m:
         return [(i, -1) for i in range(n)] + [(-1, j) for j in range(m)]
-    k = 4
+    if n == m == 1:
+        return [(0, 0)]
+    k, turned = 4, m < n  # rows are the shorter side's words; the cells of the band are the same
     while True:
         width = abs(m - n) + 2 * k + 1
         if n > 1 and (n + 1) * width > cells:
@@ -149,18 +163,19 @@ def edit_path(a: np.ndarray, b: np.ndarray, cells: int = _CELLS) -> list[tuple[i
             at = int(np.argmin(_last_row(a[:half], b) + _last_row(a[half:][::-1], b[::-1])[::-1]))
             rest = edit_path(a[half:], b[at:], cells)
             return edit_path(a[:half], b[:at], cells) + [(i + half if i >= 0 else -1, j + at if j >= 0 else -1) for i, j in rest]
-        d, low = banded(a, b, k)
-        if d[n, m - n - low] <= k or k >= n + m:
+        d, low = banded(b, a, k) if turned else banded(a, b, k)
+        if d[-1, abs(n - m) - low if turned else m - n - low] <= k or k >= n + m:
             break
         k *= 2
     out, i, j = [], n, m
+    d = d.tolist() if d.size <= 1 << 16 else d
     while i or j:
-        c = j - i - low
-        here = d[i, c]
-        if i and j and here == d[i - 1, c] + (a[i - 1] != b[j - 1]):
+        c = (i - j if turned else j - i) - low
+        here = d[j][c] if turned else d[i][c]
+        if i and j and here == (d[j - 1][c] if turned else d[i - 1][c]) + (a[i - 1] != b[j - 1]):
             i, j = i - 1, j - 1
             out.append((i, j))
-        elif i and c + 1 < d.shape[1] and here == d[i - 1, c + 1] + 1:
+        elif i and (c > 0 if turned else c + 1 < len(d[0])) and here == (d[j][c - 1] if turned else d[i - 1][c + 1]) + 1:
             i -= 1
             out.append((i, -1))
         else:

@@ -181,6 +181,16 @@ def test_a_wrong_first_letter_is_found(spark):
     assert sorted((r.k, r.name) for r in quality.names_absent(pub, raw, ["k"]).collect()) == [(1, "Lim Guan"), (2, "Kassim Ali")]
 
 
+def test_alignment_goes_along_the_shorter_side(monkeypatch):
+    """A gap of many words against few takes a step for each of the few, and none for one against one."""
+    steps, own = [], alignment.banded
+    monkeypatch.setattr(alignment, "banded", lambda a, b, k: steps.append(len(a)) or own(a, b, k))
+    a, b = np.arange(200), np.array([-1, 50, -2])
+    assert len([1 for i, j in alignment.edit_path(a, b) if i >= 0 and j >= 0 and a[i] == b[j]]) == 1
+    assert set(steps) == {3}
+    assert alignment.edit_path(a[:1], b[:1]) == [(0, 0)] and set(steps) == {3}
+
+
 def test_names_in_a_run_of_very_many_words(spark):
     """A run of capitalised words is one name, however long it is."""
     run = " ".join(["Ab"] * 30_000)

@@ -13,26 +13,38 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD_BITS = 18
 
 
-def sieved(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
-    """``rows`` without (most of) those whose key is not among the wanted ones; a null key never passes a used sieve."""
-    h = wanted.where(wanted_key.isNotNull()).select(F.xxhash64(wanted_key).alias("h"))
-    words = h.select(F.shiftrightunsigned("h", 64 - WORD_BITS).cast("int").alias("w"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("b"))
+def sieve_of(hashes: DataFrame) -> Broadcast | None:
+    """The broadcast bits of ``hashes``, a column h of well mixed longs; None where they would let most rows pass."""
+    words = hashes.select(F.shiftrightunsigned("h", 64 - WORD_BITS).cast("int").alias("w"), F.expr("shiftleft(1L, cast(h & 63 AS int))").alias("b"))
     got = words.groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
     bits = np.zeros(1 << WORD_BITS, np.uint64)
     bits[got.w.to_numpy(np.int64)] = got.b.to_numpy(np.int64).view(np.uint64)
     if np.bitwise_count(bits).sum() > 16 << WORD_BITS:
+        return None
+    return hashes.sparkSession.sparkContext.broadcast(bits)
+
+
+def passes(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Which of the longs may be among those that ``bits`` were made of."""
+    x = h.view(np.uint64)
+    return bits[x >> np.uint64(64 - WORD_BITS)] >> (x & np.uint64(63)) & np.uint64(1) == 1
+
+
+def sieved(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """``rows`` without (most of) those whose key is not among the wanted ones; a null key never passes a used sieve."""
+    sent = sieve_of(wanted.where(wanted_key.isNotNull()).select(F.xxhash64(wanted_key).alias("h")))
+    if sent is None:
         return rows
-    sent = rows.sparkSession.sparkContext.broadcast(bits)
 
     def may(hashes: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in hashes:
-            x = s.to_numpy(np.int64).view(np.uint64)
-            yield pd.Series(sent.value[x >> np.uint64(64 - WORD_BITS)] >> (x & np.uint64(63)) & np.uint64(1) == 1)
+            yield pd.Series(passes(sent.value, s.to_numpy(np.int64)))
 
     return rows.where(F.pandas_udf(may, "boolean")(F.xxhash64(key)) & key.isNotNull())

@@ -7,9 +7,10 @@ about 2 n / t of them in a text of n tokens, found by sliding minima over a spar
 the tree's other nodes own no passage of the least length.
 
 1. The compact windows of two hash functions are intersected: a *cell* is a run of starts
-   whose passages of t tokens share both min-hashes. A band gives 4 n / t rows; bands are
-   taken one after the other, so only one's rows are shuffled at a time; they are written to
-   a table in the checkpoint folder once, which goes when the band is done.
+   whose passages of t tokens share both min-hashes. A band gives 4 n / t rows; they are
+   found twice: first all signatures, to learn which several documents have, then the cells of
+   these alone. Where a sieve cannot tell them the bands are taken one after the other, so only
+   one's rows are shuffled at a time.
 2. Cells with equal signatures meet by their key. Each links to one representative, the
    shortest text's, so a passage that very many documents share costs its rows, not pairs.
 3. The texts of each (document, representative) pair are compared once: a passage is at
@@ -19,6 +20,8 @@ the tree's other nodes own no passage of the least length.
    representative does not resemble. All its pairs of different texts of different classes are compared,
    but for cells without a window of which another cell of the signature holds tokens enough: a
    sentence that very many documents have, in surroundings of their own, costs its rows, not pairs.
+   First the pairs' common tokens are counted, block by block of the signature's texts; only pairs with
+   tokens enough for a passage, each as often as both texts hold it, go on as pairs.
 5. Where a cell of a document and its representative's are not inside one verified passage
    on both sides, all windows of t tokens of both cells are hashed whole and equal ones
    linked, so exact passages are found whoever the representative is, also if the two
@@ -40,11 +43,12 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quorumtext.llm.graph import connected_components
-from quorumtext.llm.sieve import sieved
+from quorumtext.llm.sieve import passes, sieve_of, sieved
 from quorumtext.llm.textbatch import LOWER, _Powers, mix, shingle_hashes, slices, span_hashes, word_spans
 from quorumtext.runtime import cut, release, shared_checkpoint_dir
 
@@ -53,6 +57,9 @@ MIN_WORDS = 50
 SIMILARITY = 0.8
 BANDS = ((1, 2), (3, 4), (5, 6), (7, 8))
 
+#: Texts of a signature that are counted against as many others at once, and their bytes.
+BLOCK, BLOCK_BYTES = 512, 1 << 24
+
 IS_WORD = np.ones(256, bool)
 IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 
@@ -96,8 +103,11 @@ def cells(h: np.ndarray, begin: np.ndarray, t: int, band: tuple[int, ...]) -> tu
     return mix(key[head] + np.uint64(band[0])).view(np.int64), r, head - begin[r], tail - begin[r]
 
 
-def _windows(docs: DataFrame, t: int, band: tuple[int, ...]) -> DataFrame:
-    """(key, doc_id, n, x) of all cells of one band, x = x0 << 32 | x1; docs: (doc_id, text)."""
+def _windows(docs: DataFrame, t: int, *bands: tuple[int, ...], brief: bool = False, sieve: Broadcast | None = None) -> DataFrame:
+    """(key, doc_id, n, x) of all cells of these bands, x = x0 << 32 | x1, or (key, doc_id) if brief; docs: (doc_id, text).
+
+    With a sieve of keys most cells of other keys stay away.
+    """
     limit = 1 << 22  # bytes of a slice: places must fit 24 bits, so a longer text is cut into overlapping pieces
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +116,18 @@ def _windows(docs: DataFrame, t: int, band: tuple[int, ...]) -> DataFrame:
             for s in slices(b.column(1)):
                 h, begin = tokens(s.data, s.bounds)
                 pieces = [(h, begin, 0)] if len(h) < limit else [(h[a : a + limit + t - 1], np.array([0, min(limit + t - 1, len(h) - a)]), a) for a in range(0, len(h), limit)]
-                for own, cut_at, shift in pieces:
+                for band, (own, cut_at, shift) in ((band, piece) for piece in pieces for band in bands):
                     key, row, x0, x1 = cells(own, cut_at, t, band)
-                    n = np.diff(begin)[row]
-                    yield pa.record_batch({"key": pa.array(key), "doc_id": b.column(0).take(pa.array(lo + row)), "n": pa.array(n.astype(np.int32)), "x": pa.array((x0 + shift) << 32 | (x1 + shift))})
+                    if sieve is not None:
+                        may = passes(sieve.value, key)
+                        key, row, x0, x1 = key[may], row[may], x0[may], x1[may]
+                    out = {"key": pa.array(key), "doc_id": b.column(0).take(pa.array(lo + row))}
+                    if not brief:
+                        out |= {"n": pa.array(np.diff(begin)[row].astype(np.int32)), "x": pa.array((x0 + shift) << 32 | (x1 + shift))}
+                    yield pa.record_batch(out)
                 lo += s.hi - s.lo
 
-    return docs.mapInArrow(each, f"key long NOT NULL, doc_id {docs.schema['doc_id'].dataType.simpleString()} NOT NULL, n int NOT NULL, x long NOT NULL")
+    return docs.mapInArrow(each, f"key long NOT NULL, doc_id {docs.schema['doc_id'].dataType.simpleString()} NOT NULL" + ", n int NOT NULL, x long NOT NULL" * (not brief))
 
 
 def token_index(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,6 +140,24 @@ def token_index(b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, values, times
 
 
+def least_common(t: int, similarity: float = SIMILARITY) -> int:
+    """Equal tokens that two sets of t tokens have at that similarity."""
+    return int(np.ceil(2 * t * similarity / (1 + similarity)))
+
+
+def _different(place: np.ndarray, t: int) -> np.ndarray:
+    """Of each t consecutive places, the number of different ones, without those below zero."""
+    at = np.flatnonzero(place >= 0)
+    order = at[np.argsort(place[at], kind="stable")]
+    before = np.full(len(place), -1)
+    same = place[order[1:]] == place[order[:-1]]
+    before[order[1:][same]] = order[:-1][same]
+    n = len(place) - t + 1
+    first, last = np.maximum(np.maximum(before[at] + 1, at - t + 1), 0), np.minimum(at, n - 1)  # the windows that hold it, but not the same before it
+    full = first <= last
+    return np.cumsum(np.bincount(first[full], minlength=n + 1) - np.bincount(last[full] + 1, minlength=n + 1))[:n]
+
+
 def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similarity: float = SIMILARITY, index: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, int, int]]:
     """Passages (first and last token in a, in b) of at least t tokens at that similarity or more.
 
@@ -144,16 +177,20 @@ def shared_passages(a: np.ndarray, b: np.ndarray, t: int, similarity: float = SI
         turn = np.empty(len(again), np.int64)
         turn[own] = np.arange(len(again)) - np.searchsorted(a[again][own], a[again][own])
         place[again] = order[at[again] + np.minimum(turn, times[at[again]] - 1)]
-    least = int(np.ceil(2 * t * similarity / (1 + similarity)))  # equal tokens of two sets of t
+    least = least_common(t, similarity)
     got = np.concatenate([[0], np.cumsum(there)])
     if got[-1] < least:
         return []
     good = np.flatnonzero(got[t:] - got[:-t] >= least)
+    strong = np.flatnonzero(_different(place, t)[good] >= least)  # of the good windows; others cannot begin a passage
+    if not len(strong):
+        return []
     ends = np.append(np.flatnonzero(np.diff(good) != 1), len(good) - 1)
     run = ends[np.searchsorted(ends, np.arange(len(good)))]  # the last of the good windows that follow each other
     out = []
     k = 0
-    while k < len(good):
+    while k <= strong[-1]:
+        k = int(strong[np.searchsorted(strong, k)])
         x = int(good[k])
         p = place[x : x + t]
         p = p[p >= 0]
@@ -248,21 +285,28 @@ def _written(rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
     return spark.read.schema(rows.schema).parquet(path), lambda: there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
-def _met(cells_of: DataFrame) -> DataFrame:
+def _met(docs: DataFrame, t: int) -> DataFrame:
     """(key, u, v, x, y), cut: cells x of u whose signature's representative is v's cell y."""
-    rows, delete = _written(cells_of)
-    keys = cut(rows.groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("key"))
-    shared = cut(sieved(rows, F.col("key"), keys, F.col("key")).join(keys.hint("merge"), "key"))  # most signatures are one document's
-    delete()
-    groups = shared.groupBy("key").agg(F.min(F.struct("n", "doc_id", "x")).alias("rep")).select("key", F.col("rep.doc_id").alias("v"), F.col("rep.x").alias("y"))
-    groups = cut(groups)  # so the join can be split at a hot signature
-    return cut(shared.join(groups.hint("merge"), "key").where("doc_id <> v").select("key", F.col("doc_id").alias("u"), "v", "x", "y"))
+    keys = cut(_windows(docs, t, *BANDS, brief=True).groupBy("key").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("key"))
+    release(docs.sparkSession)
+    sieve = sieve_of(keys.select(F.col("key").alias("h")))
+    links = None
+    for bands in ((band,) for band in BANDS) if sieve is None else (BANDS,):
+        shared = cut(_windows(docs, t, *bands, sieve=sieve).join(keys.hint("merge"), "key"))  # most signatures are one document's
+        groups = shared.groupBy("key").agg(F.min(F.struct("n", "doc_id", "x")).alias("rep")).select("key", F.col("rep.doc_id").alias("v"), F.col("rep.x").alias("y"))
+        groups = cut(groups)  # so the join can be split at a hot signature
+        more = cut(shared.join(groups.hint("merge"), "key").where("doc_id <> v").select("key", F.col("doc_id").alias("u"), "v", "x", "y"))
+        links = more if links is None else links.unionByName(more)
+        del shared, groups
+        release(docs.sparkSession)
+    return links
 
 
-def _tokens_of(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
-    """(h, key, doc_id, x, at): the tokens in and closely around cells (key, doc_id, x), by place from the first, hashed with the key."""
-    asked = cut(members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "x")).alias("asked")))
-    own = sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id").select("doc_id", "text", "asked")
+def _tokens_of(own: DataFrame, t: int, brief: bool = False, sieve: Broadcast | None = None) -> DataFrame:
+    """(h, key, doc_id, x, at): the tokens in and closely around cells (key, x) asked of texts, by place from the first, hashed with the key.
+
+    (h, doc_id) if brief, less often if a token is repeated. With a sieve of hashes most other tokens stay away.
+    """
     around = t // 4  # the other side of a passage is longer by a quarter at most
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,19 +324,27 @@ def _tokens_of(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
                     n = size[k : k + 1024]
                     cell = np.repeat(np.arange(k, k + len(n)), n)
                     at = np.arange(len(cell)) - np.repeat(ends[k : k + 1024] - n - (ends[k - 1] if k else 0), n)
-                    mixed = mix(h[first[cell] + at] + mix(key[cell].view(np.uint64)))
-                    yield pa.record_batch({"h": pa.array(mixed.view(np.int64)), "key": pa.array(key[cell]), "doc_id": b.column(0).take(pa.array(lo + row[cell])), "x": pa.array(x[cell]), "at": pa.array(at.astype(np.int32))})
+                    mixed = mix(h[first[cell] + at] + mix(key[cell].view(np.uint64))).view(np.int64)
+                    if brief:
+                        some = np.flatnonzero(np.concatenate([np.ones(min(1, len(mixed)), bool), (mixed[1:] != mixed[:-1]) | (row[cell[1:]] != row[cell[:-1]])]))
+                    else:
+                        some = np.arange(len(mixed)) if sieve is None else np.flatnonzero(passes(sieve.value, mixed))
+                    cell, at = cell[some], at[some]
+                    out = {"h": pa.array(mixed[some]), "doc_id": b.column(0).take(pa.array(lo + row[cell]))}
+                    yield pa.record_batch(out if brief else {"h": out["h"], "key": pa.array(key[cell]), "doc_id": out["doc_id"], "x": pa.array(x[cell]), "at": pa.array(at.astype(np.int32))})
                 lo += s.hi - s.lo
 
-    return own.mapInArrow(each, f"h long, key long, doc_id {docs.schema['doc_id'].dataType.simpleString()}, x long, at int")
+    kind = own.schema["doc_id"].dataType.simpleString()
+    return own.mapInArrow(each, f"h long, doc_id {kind}" if brief else f"h long, key long, doc_id {kind}, x long, at int")
 
 
 def _met_elsewhere(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
     """(key, doc_id): of cells (key, doc_id, x), those with a window of which other documents of the key hold tokens enough for a passage."""
-    rows, delete = _written(_tokens_of(members, docs, t))
-    common = cut(rows.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("h"))
-    places = sieved(rows, F.col("h"), common, F.col("h")).join(common.hint("merge"), "h").groupBy("key", "doc_id", "x").agg(F.collect_list("at").alias("at"))
-    least = int(np.ceil(2 * t * SIMILARITY / (1 + SIMILARITY)))
+    asked = cut(members.groupBy("doc_id").agg(F.collect_list(F.struct("key", "x")).alias("asked")))
+    own = cut(sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id").select("doc_id", "text", "asked"))
+    common = cut(_tokens_of(own, t, brief=True).groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("last")).where("least <> last").select("h"))
+    places = _tokens_of(own, t, sieve=sieve_of(common)).join(common.hint("merge"), "h").groupBy("key", "doc_id", "x").agg(F.collect_list("at").alias("at"))
+    least = least_common(t)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -303,11 +355,66 @@ def _met_elsewhere(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
             yield pa.record_batch([c.filter(pa.array(good, pa.bool_())) for c in b.columns[:2]], names=["key", "doc_id"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    out = cut(places.select("key", "doc_id", "at").mapInArrow(each, f"key long, doc_id {kind}").distinct())
-    delete()
+    return cut(places.select("key", "doc_id", "at").mapInArrow(each, f"key long, doc_id {kind}").distinct())
+
+
+def common_tokens(texts: pa.Array, t: int) -> np.ndarray:
+    """Of all pairs of texts, the number of tokens in common, each as often as both hold it, but t times at most."""
+    own, sizes = [], []
+    for s in slices(texts):
+        h, begin = tokens(s.data, s.bounds)
+        own.append(h)
+        sizes.append(np.diff(begin))
+    h, row = np.concatenate(own), np.repeat(np.arange(len(texts)), np.concatenate(sizes))
+    out = np.zeros((len(texts), len(texts)), np.float32)
+    parts = 1 + (len(h) >> 21)  # the tokens are taken in so many shares
+    for k in range(parts):
+        mine = slice(None) if parts == 1 else np.flatnonzero(h % np.uint64(parts) == k)
+        order = np.argsort(h[mine], kind="stable")  # so a token's rows rise
+        v, r = h[mine][order], row[mine][order]
+        new = np.concatenate([np.ones(min(1, len(v)), bool), v[1:] != v[:-1]])
+        head = np.flatnonzero(new)
+        last = np.append(head[1:], len(v)) - 1
+        token = np.cumsum(new) - 1
+        own_head = np.flatnonzero(new | np.concatenate([np.ones(min(1, len(v)), bool), r[1:] != r[:-1]]))
+        turn = np.arange(len(v)) - np.repeat(own_head, np.diff(np.append(own_head, len(v))))
+        kept = np.flatnonzero((r[head] != r[last])[token] & (turn < t))
+        at, r = token[kept] * t + turn[kept], r[kept]
+        column = np.unique(at, return_inverse=True)[1]
+        order = np.argsort(column, kind="stable")
+        column, r = column[order], r[order]
+        for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            a, b = np.searchsorted(column, [lo, lo + 4096])
+            held = np.zeros((len(texts), 4096), np.float32)
+            held[r[a:b], column[a:b] - lo] = 1
+            out += held @ held.T
     return out
 
 
+def _alike(members: DataFrame, docs: DataFrame, t: int) -> DataFrame:
+    """(u, v), u > v: the pairs of a key's documents (key, doc_id, c, size) of different c whose texts have tokens enough in common for a passage."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    least = least_common(t)
+
+    def each(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        ids, own = group.column("doc_id").combine_chunks(), group.column("own").to_numpy()
+        c = group.column("c").combine_chunks().dictionary_encode().indices.to_numpy()
+        apart = c[:, None] != c if own.min() == own.max() else (c[:, None] != c) & (own[:, None] != own)
+        i, j = np.nonzero(np.triu(apart) & (common_tokens(group.column("text").combine_chunks(), t) >= least))
+        return pa.table({"u": ids.take(pa.array(i)), "v": ids.take(pa.array(j))})
+
+    blocks = members.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("last"), F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_BYTES, F.lit(1))).cast("int").alias("blocks")).where("least <> last").select("key", "blocks")
+    blocks = cut(blocks)
+    dealt = members.join(blocks.hint("merge"), "key").withColumn("own", F.expr("cast(pmod(xxhash64(doc_id), blocks) AS int)")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = cut(dealt.select("key", "doc_id", "c", "own", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")))
+    asked = cut(dealt.select("doc_id").distinct())
+    text = cut(sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", "text"))
+    held = dealt.join(text.hint("merge"), "doc_id").select("key", "a", "b", "doc_id", "c", "own", "text")
+    pairs = held.groupBy("key", "a", "b").applyInArrow(each, f"u {kind}, v {kind}")
+    return pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def _across(links: DataFrame, pairs: DataFrame, passages: DataFrame, docs: DataFrame, t: int) -> DataFrame:
     """(u, v), cut: the pairs of different texts with a common signature that neither met nor are of one class by ``passages``."""
     comp = cut(connected_components(passages.select("u", "v").distinct()))
@@ -317,15 +424,15 @@ def _across(links: DataFrame, pairs: DataFrame, passages: DataFrame, docs: DataF
     own = cut(sieved(links, F.col("key"), keys, F.col("key")).join(keys.hint("merge"), "key", "left_semi"))
     members = cut(own.select("key", F.col("u").alias("doc_id"), "x").unionByName(own.select("key", F.col("v").alias("doc_id"), F.col("y").alias("x"))).distinct())
     asked = cut(members.select("doc_id").distinct())
-    text = cut(sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", F.sha2("text", 256).alias("text")))
-    first = cut(text.groupBy("text").agg(F.min("doc_id").alias("first")))  # copies go by one of them
+    text = cut(sieved(docs, F.col("doc_id"), asked, F.col("doc_id")).join(asked.hint("merge"), "doc_id", "left_semi").select("doc_id", F.sha2("text", 256).alias("text"), F.octet_length("text").alias("size")))
+    first = cut(text.groupBy("text").agg(F.min("doc_id").alias("first"), F.max("size").alias("size")))  # copies go by one of them
     copies = text.join(first.hint("merge"), "text").groupBy("doc_id").agg(F.min("first").alias("first"))
     members = cut(members.join(copies.hint("merge"), "doc_id").select("key", F.col("first").alias("doc_id"), "x").distinct())
     good = _met_elsewhere(members, docs, t)
     known = comp.select(F.col("node").alias("doc_id"), "component")
-    good = cut(good.join(known.hint("merge"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c")))
-    one, two = (good.select("key", F.col("doc_id").alias(d), F.col("c").alias(f"c{d}")) for d in ("u", "v"))
-    across = one.join(two.hint("merge"), "key").where("u > v AND cu <> cv").select("u", "v").distinct()
+    sizes = first.groupBy(F.col("first").alias("doc_id")).agg(F.max("size").alias("size"))
+    good = cut(good.join(known.hint("merge"), "doc_id", "left").join(sizes.hint("merge"), "doc_id").select("key", "doc_id", F.coalesce("component", "doc_id").alias("c"), "size"))
+    across = _alike(good, docs, t)
     known = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     return cut(across.join(known.hint("merge"), ["u", "v"], "left_anti"))
 
@@ -342,11 +449,7 @@ def passage_links(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     t = min_words - SHINGLE + 1
     docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
     words = t + SHINGLE - 2
-    links = None
-    for band in BANDS:
-        more = _met(_windows(docs, t, band))
-        links = more if links is None else links.unionByName(more)
-        release(docs.sparkSession)
+    links = _met(docs, t)
     pairs = cut(links.select("u", "v").distinct())
     release(docs.sparkSession)
     passages = cut(_compared(pairs, docs, t))

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -267,6 +269,31 @@ def test_no_pair_of_a_signature_is_left_out(spark):
     assert len(links) > 200 and [(u, v) for u, v in sorted(links) if got.get(u, -1) != got.get(v, -2)] == []
 
 
+@pytest.mark.parametrize("block", [512, 32])
+def test_texts_of_runs_are_not_compared_in_pairs(spark, monkeypatch, block):
+    """Texts of repeated words share signatures in great number, passages of 50 words seldom: just the pairs with tokens enough are compared."""
+    monkeypatch.setattr(substring, "BLOCK", block)
+    r = random.Random(13)
+    vocabulary = ["".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(40)]
+    texts = [" ".join(w for _ in range(5) for w in [r.choice(vocabulary)] * r.randrange(24, 36)) for _ in range(150)]
+    t = substring.MIN_WORDS - substring.SHINGLE + 1
+    members = spark.createDataFrame([(7, i, i // 2, len(x)) for i, x in enumerate(texts)], "key long, doc_id long, c long, size int")
+    got = sorted((x.u, x.v) for x in substring._alike(members, frame(spark, texts), t).collect())
+    counts = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (x.split() for x in texts)]
+    all_pairs = [(u, v) for u in range(150) for v in range(u) if u // 2 != v // 2]
+    assert got == [(u, v) for u, v in all_pairs if sum(min(t, n, counts[v][x]) for x, n in counts[u].items()) >= 41]
+    assert 0 < len(got) < len(all_pairs) / 5
+
+
+def test_common_tokens():
+    r = random.Random(3)
+    texts = [" ".join(w for _ in range(r.randrange(1, 7)) for w in [r.choice("abcde")] * r.randrange(1, 70)) for _ in range(60)] + ["", None]
+    words = [(x or "").split() for x in texts]
+    counts = [Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in words]
+    got = substring.common_tokens(pa.array(texts), 46)
+    assert all(got[i, j] == sum(min(46, n, counts[j][x]) for x, n in counts[i].items()) for i in range(len(texts)) for j in range(i))
+
+
 def test_near_copies(spark):
     r = random.Random(2)
     words = lambda n: ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n)]
